@@ -89,12 +89,12 @@ def flat(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(array: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, offsets) pieces of at most ``limit`` bytes, or of one row."""
+def slices(array: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, offsets) pieces of at most ``rows`` rows and ``limit`` bytes, or of one row."""
     data, at = flat(array)
     first, n = 0, len(array)
     while first < n:
-        last = max(first + 1, int(np.searchsorted(at, at[first] + limit, side="right")) - 1)
+        last = min(first + rows, max(first + 1, int(np.searchsorted(at, at[first] + limit, side="right")) - 1))
         yield first, last, data[at[first] : at[last]], at[first : last + 1] - at[first]
         first = last
 

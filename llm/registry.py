@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.op03_packing import op3_best_fit_packing
+from llm.op05_quality import op5_quality_classifier
 from llm.op06_url_filters import ORACLE_SQL as URL_FILTERS_SQL
 from llm.op06_url_filters import op6_url_filters
+from llm.op09_language import op9_language_id
 from llm.op10_byte_bpe import op10_byte_bpe
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_best_fit_packing, op6_url_filters, op10_byte_bpe)}
+    return {f.__name__: f for f in (op3_best_fit_packing, op5_quality_classifier, op6_url_filters, op9_language_id, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
