@@ -7,16 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.op03_packing import op3_best_fit_packing
+from llm.op04_multi_index import op4_inverted_multi_index
 from llm.op05_quality import op5_quality_classifier
 from llm.op06_url_filters import ORACLE_SQL as URL_FILTERS_SQL
 from llm.op06_url_filters import op6_url_filters
+from llm.op08_exact_top_k import ORACLE_SQL as EXACT_TOP_K_SQL
+from llm.op08_exact_top_k import op8_exact_top_k
 from llm.op09_language import op9_language_id
 from llm.op10_byte_bpe import op10_byte_bpe
 
 
+QUERIES = (
+    op3_best_fit_packing,
+    op4_inverted_multi_index,
+    op5_quality_classifier,
+    op6_url_filters,
+    op8_exact_top_k,
+    op9_language_id,
+    op10_byte_bpe,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_best_fit_packing, op5_quality_classifier, op6_url_filters, op9_language_id, op10_byte_bpe)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filters": URL_FILTERS_SQL}
+    return {"op6_url_filters": URL_FILTERS_SQL, "op8_exact_top_k": EXACT_TOP_K_SQL}
