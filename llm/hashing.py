@@ -122,16 +122,18 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return mix(ranges(prefix(data), starts, stops)), rows
 
 
-def sampled(hashes: np.ndarray, width: int, ok: np.ndarray) -> np.ndarray:
-    """Positions that hold the smallest hash of some ``width`` consecutive ones (the leftmost, in a tie).
+def assigned(hashes: np.ndarray, width: int, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, first window, last window): each window of ``width`` hashes is assigned to its smallest.
 
-    ``ok`` marks the first positions of the windows that count. Equal content in a window gives
-    the same choice wherever the window lies, so any two equal windows share a position.
+    ``ok`` marks the first positions of the windows that count; of equal hashes the leftmost is
+    taken. The choice depends on a window's content alone, so equal windows have equal anchors at
+    equal distances wherever they lie; the windows of an anchor are consecutive.
     """
     n = len(hashes)
+    none = np.empty(0, dtype=np.int64)
     if n < width:
-        return np.empty(0, dtype=np.int64)
-    bits = np.uint64(int(n).bit_length())
+        return none, none, none
+    bits = np.uint64(max(23, int(n).bit_length()))
     low = (hashes >> bits << bits) | np.arange(n, dtype=np.uint64)
     have = 1
     while have * 2 <= width:
@@ -139,7 +141,23 @@ def sampled(hashes: np.ndarray, width: int, ok: np.ndarray) -> np.ndarray:
         have *= 2
     if have < width:
         low = np.minimum(low[: n - width + 1], low[width - have : width - have + n - width + 1])
-    best = low[ok[: len(low)]] & ((np.uint64(1) << bits) - np.uint64(1))
-    keep = np.ones(len(best), dtype=bool)
-    keep[1:] = best[1:] != best[:-1]
-    return best[keep].astype(np.int64)
+    start = np.flatnonzero(ok[: len(low)])
+    if not len(start):
+        return none, none, none
+    best = low[start] & ((np.uint64(1) << bits) - np.uint64(1))
+    turn = np.flatnonzero(best[1:] != best[:-1]) + 1
+    begin = np.concatenate([[0], turn])
+    stop = np.append(turn, len(best))
+    return best[begin].astype(np.int64), start[begin], start[stop - 1]
+
+
+def merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The union of the intervals [start, stop) as maximal disjoint ones; touching ones become one."""
+    if not len(start):
+        return start, stop
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(stop[order])
+    first = np.ones(len(start), dtype=bool)
+    first[1:] = start[1:] > reach[:-1]
+    begin = np.flatnonzero(first)
+    return start[begin], reach[np.append(begin[1:], len(start)) - 1]

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.op01_suffix_array import op1_suffix_array_dedup
+from llm.op02_substring import op2_substring_dedup
 from llm.op03_packing import op3_best_fit_packing
 from llm.op04_multi_index import op4_inverted_multi_index
 from llm.op05_quality import op5_quality_classifier
@@ -18,6 +20,8 @@ from llm.op10_byte_bpe import op10_byte_bpe
 
 
 QUERIES = (
+    op1_suffix_array_dedup,
+    op2_substring_dedup,
     op3_best_fit_packing,
     op4_inverted_multi_index,
     op5_quality_classifier,

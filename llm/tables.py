@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -26,10 +27,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: later stages start from the files."""
+    """``df`` written once to the shared folder and read back: later stages start from the files.
+
+    The shuffle files behind it are then of no use; collecting the driver's garbage lets Spark
+    delete them, which keeps the disk that a query of several stages needs to that of one stage.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
