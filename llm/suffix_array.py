@@ -127,7 +127,7 @@ def double_ranks(names: np.ndarray, depth: int | None) -> np.ndarray:
 
 
 def permuted_prefixes(text: np.ndarray, array: np.ndarray, limit: int, exact: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(common prefix of each suffix with the one before it in the array, up to ``limit``; that suffix).
+    """(common prefix of each suffix with one before it in the array, up to ``limit``; that suffix).
 
     A suffix's value is at least its left neighbour's less one, so stretches that agree on far more
     than ``limit`` symbols are known from every sixteenth suffix; the others are found by bisection
@@ -157,8 +157,9 @@ def permuted_prefixes(text: np.ndarray, array: np.ndarray, limit: int, exact: bo
     out[at] = measure(at, 2 * limit - 1)
     known[at] = True
     for d in range(1, step):
-        implied = at[(out[at] - d >= limit) & (at + d < n)] + d
-        out[implied], known[implied] = limit, True
+        source = at[(out[at] - d >= limit) & (at + d < n)]
+        out[source + d], known[source + d] = limit, True
+        before[source + d] = before[source] + d  # in a cut order its own neighbour may agree on less
     rest = np.flatnonzero(~known)
     if exact:
         out[rest] = measure(rest, 2 * limit - 1)
