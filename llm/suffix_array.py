@@ -129,9 +129,10 @@ def double_ranks(names: np.ndarray, depth: int | None) -> np.ndarray:
 def permuted_prefixes(text: np.ndarray, array: np.ndarray, limit: int, exact: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(common prefix of each suffix with one before it in the array, up to ``limit``; that suffix).
 
-    A suffix's value is at least its left neighbour's less one, so stretches that agree on far more
-    than ``limit`` symbols are known from every sixteenth suffix; the others are found by bisection
-    on hashes. Without ``exact``, a value under ``limit`` may be that lower bound.
+    Values of every sixteenth suffix are found by bisection on hashes. In a complete order a value is
+    at least its left neighbour's less one, so stretches that agree on far more than ``limit``
+    symbols follow from those. In an order cut at ``limit`` symbols (``exact`` False) that does not
+    hold: there every suffix is tested for ``limit``, and a smaller value is only a lower bound.
     """
     n, step = len(text), 16
     before = np.empty(n, dtype=np.int64)
@@ -152,21 +153,19 @@ def permuted_prefixes(text: np.ndarray, array: np.ndarray, limit: int, exact: bo
             size >>= 1
         return have
 
-    known = np.zeros(n, dtype=bool)
     at = np.arange(0, n, step)
     out[at] = measure(at, 2 * limit - 1)
-    known[at] = True
-    for d in range(1, step):
-        source = at[(out[at] - d >= limit) & (at + d < n)]
-        out[source + d], known[source + d] = limit, True
-        before[source + d] = before[source] + d  # in a cut order its own neighbour may agree on less
-    rest = np.flatnonzero(~known)
     if exact:
+        known = np.zeros(n, dtype=bool)
+        known[at] = True
+        for d in range(1, step):
+            implied = at[(out[at] - d >= limit) & (at + d < n)] + d
+            out[implied], known[implied] = limit, True
+        rest = np.flatnonzero(~known)
         out[rest] = measure(rest, 2 * limit - 1)
     else:
-        out[rest] = np.maximum(0, out[rest - rest % step] - rest % step)
-        other = before[rest]
-        inside = (rest + limit <= n) & (other + limit <= n)
-        rest, other = rest[inside], other[inside]
-        out[rest[ranges(sums, rest, rest + limit) == ranges(sums, other, other + limit)]] = limit
+        rest = np.flatnonzero(before + limit <= n)
+        rest = rest[rest + limit <= n]
+        same = ranges(sums, rest, rest + limit) == ranges(sums, before[rest], before[rest] + limit)
+        out[rest[same]] = limit
     return np.minimum(out, limit), before
