@@ -13,6 +13,7 @@ from llm.op04_multi_index import op4_inverted_multi_index
 from llm.op05_quality import op5_quality_classifier
 from llm.op06_url_filters import ORACLE_SQL as URL_FILTERS_SQL
 from llm.op06_url_filters import op6_url_filters
+from llm.op07_jaccard_join import op7_jaccard_join
 from llm.op08_exact_top_k import ORACLE_SQL as EXACT_TOP_K_SQL
 from llm.op08_exact_top_k import op8_exact_top_k
 from llm.op09_language import op9_language_id
@@ -26,6 +27,7 @@ QUERIES = (
     op4_inverted_multi_index,
     op5_quality_classifier,
     op6_url_filters,
+    op7_jaccard_join,
     op8_exact_top_k,
     op9_language_id,
     op10_byte_bpe,
