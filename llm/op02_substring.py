@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from llm.hashing import assigned, merged, mix, prefix, ranges, slices, windows, word_hashes
 from llm.recurrence import SPAN, cut, keyed, recurring, with_spans
-from llm.tables import table, written
+from llm.tables import fresh, others, table, written
 
 WINDOW = 50
 ANCHOR = 10
@@ -168,10 +168,10 @@ def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = A
     """(doc_id, row, start, stop): word spans to remove; ``documents`` has doc_id, row and text."""
     documents = documents.where("doc_id is not null")
     found = written(anchors(documents, window, anchor), "anchors")
-    again, distinct = recurring(found, F.col("lo") < F.col("hi"))
+    again, distinct, kinds = recurring(found, F.col("lo") < F.col("hi"))
     copies = again.join(distinct.where("lo < hi").select("fp", "ph", "lo"), ["fp", "ph"]).where("doc_id > lo")
     whole = copies.select("doc_id", "row", "start", (F.col("start") + F.col("n") + window - 1).cast("int").alias("stop"))
-    wanted = distinct.where("kinds > 1").select("fp", "kinds", "first.*")
+    wanted = distinct.select("fp", "first.*").join(kinds, "fp").select("fp", "kinds", "doc_id", "row", "start", "n")
 
     def take(text: bytes):
         words = text.split()
@@ -184,30 +184,31 @@ def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = A
 def dedup(documents: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT, shard: int = SHARD) -> DataFrame:
     """``documents`` with n_words, n_removed, and kept: the kept words joined by one space."""
     made = ["n_words", "n_removed", "kept"]
-    kept = [c for c in documents.columns if c not in made]
+    own = others(documents, made)
+    name = fresh(documents, "spans")
     spans = removed_spans(keyed(documents), window=window, anchor=anchor, hot=hot, shard=shard)
-    rows = with_spans(documents.select(*kept), spans)
-    schema = T.StructType([*[documents.schema[c] for c in kept], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
+    rows = with_spans(documents.select(*own), spans, name)
+    schema = T.StructType([*[documents.schema[c] for c in own], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts, spans = part.column(part.schema.get_field_index("text")), part.column(part.schema.get_field_index("spans_"))
+                texts, spans = part.column(part.schema.get_field_index("text")), part.column(part.schema.get_field_index(name))
                 total, gone, left = [], [], []
-                for text, own in zip(texts, spans, strict=True):
+                for text, found in zip(texts, spans, strict=True):
                     words = (text.as_py() or "").encode().split()
                     keep = words
-                    if own.is_valid:
-                        pairs = np.array([(s["start"], s["stop"]) for s in own.as_py()], dtype=np.int64)
+                    if found.is_valid:
+                        pairs = np.array([(s["start"], s["stop"]) for s in found.as_py()], dtype=np.int64)
                         a, b = merged(pairs[:, 0], pairs[:, 1])
                         edges = [0, *np.column_stack([a, b]).ravel().tolist(), len(words)]
                         keep = [w for i in range(0, len(edges), 2) for w in words[edges[i] : edges[i + 1]]]
                     total.append(len(words))
                     gone.append(len(words) - len(keep))
                     left.append(b" ".join(keep).decode())
-                columns = [part.column(part.schema.get_field_index(c)) for c in kept]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(left, pa.string())], names=[*kept, *made])
+                columns = [part.column(part.schema.get_field_index(c)) for c in own]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(left, pa.string())], names=[*own, *made])
 
     return rows.mapInArrow(run, schema)
 

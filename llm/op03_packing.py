@@ -4,9 +4,9 @@ Only how many pieces have each length matters to the packing, and lengths are at
 capacity; so the plan is made on that histogram (at most ``capacity`` rows reach the driver,
 whatever the input) and then dealt to the pieces by rank within their length.
 
-The reduction is Martello and Toth's: for the longest piece left, a small set that holds it and
-dominates every other set that could share its sequence is fixed for good and taken out.
-Dominance used here, for the longest piece j and the longest piece a that fits beside it:
+The reduction is Martello and Toth's: for a piece, a small set that holds it and dominates every
+other set that could share its sequence is fixed for good and taken out, the longest pieces first.
+Dominance used here, for a piece j and the longest piece a that fits beside it:
 - nothing fits beside j: {j};
 - j and a fill the sequence exactly: {j, a};
 - no two pieces fit beside j, or the best two that fit are together no longer than a: {j, a}.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.tables import shuffles, table, written
+from llm.tables import others, shuffles, table, written
 from llm.vocab import encoder, public_path
 
 CAPACITY = 2048
@@ -66,7 +66,6 @@ def reduce_histogram(counts: dict[int, int], capacity: int) -> tuple[list[tuple[
     left = Counter({k: v for k, v in counts.items() if v > 0})
     lengths = sorted(left)
     fixed: list[tuple[int, tuple[int, ...]]] = []
-    kept: dict[int, int] = {}
 
     def drop(x: int, n: int) -> None:
         left[x] -= n
@@ -74,26 +73,24 @@ def reduce_histogram(counts: dict[int, int], capacity: int) -> tuple[list[tuple[
             del left[x]
             lengths.remove(x)
 
-    while lengths:
-        j = lengths[-1]
-        room = capacity - j
-        at = bisect_right(lengths, room) - 1
-        if at >= 0 and lengths[at] == j and left[j] == 1:
-            at -= 1  # the only piece of its length cannot stand beside itself
-        if at < 0:
-            fixed.append((left[j], (j,)))
-            drop(j, left[j])
-            continue
-        a = lengths[at]
-        if j + a == capacity or _best_pair(lengths, left, room, j) <= a:
+    for j in sorted(left, reverse=True):
+        while left[j]:
+            room = capacity - j
+            at = bisect_right(lengths, room) - 1
+            if at >= 0 and lengths[at] == j and left[j] == 1:
+                at -= 1  # the only piece of its length cannot stand beside itself
+            if at < 0:
+                fixed.append((left[j], (j,)))
+                drop(j, left[j])
+                break
+            a = lengths[at]  # the longest that fits beside j, be it longer or shorter than j
+            if j + a != capacity and _best_pair(lengths, left, room, j) > a:
+                break
             n = left[j] // 2 if a == j else min(left[j], left[a])
             fixed.append((n, (j, a)))
             drop(j, n)
             drop(a, n)
-            continue
-        kept[j] = left[j]
-        drop(j, left[j])
-    return fixed, kept
+    return fixed, dict(left)
 
 
 def _best_pair(lengths: list[int], left: Counter, room: int, j: int) -> int:
@@ -170,7 +167,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slot = made.repartition(max(1, min(salts, len(slots)))).select("length", "first", "sequence", "offset", rank).select(
         "length", (F.col("first") + F.col("k")).alias("rank"), (F.col("sequence") + F.col("k")).alias("sequence_id"), "offset"
     )
-    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset", "salt", "rank", "before")]
+    kept = others(pieces, ["sequence_id", "offset", "salt", "rank", "before", "at"])
     salted = pieces.select(*kept, F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).alias("salt"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))

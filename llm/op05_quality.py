@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.hashing import mix, slices, word_hashes
-from llm.tables import held_out, table
+from llm.tables import held_out, others, table
 
 BUCKETS = 1 << 18
 SAMPLE_DOCUMENTS = 12_000
@@ -99,7 +99,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "quality", samp
 
 def score(documents: DataFrame, weights: np.ndarray, *, text: str = "text") -> DataFrame:
     """``documents`` with score (the probability of label 1) and predicted."""
-    kept = [c for c in documents.columns if c not in ("score", "predicted")]
+    kept = others(documents, ["score", "predicted"])
     schema = T.StructType([*[documents.schema[c] for c in kept], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     packed = np.asarray(weights, dtype="<f4").tobytes()
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.tables import shuffles, table
+from llm.tables import others, shuffles, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULE = "array<struct<path:string,size:int,verdict:string,rule:string>>"
@@ -84,7 +84,7 @@ def judge(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str
     """``pages`` with host, path, the longest fitting rule (null if none) and its verdict or the default."""
     salts = shuffles(pages.sparkSession)
     made = ["host", "path", "rule", "verdict"]
-    kept = [c for c in pages.columns if c not in made]
+    kept = others(pages, made)
     u = F.col(url)
     points = pages.select(
         F.struct(*[F.col(c) for c in kept]).alias("page"),

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.hashing import slices
-from llm.tables import held_out, table
+from llm.tables import held_out, others, table
 
 DIMENSIONS = 1 << 12
 CENTROIDS = 3
@@ -122,7 +122,7 @@ def fit(documents: DataFrame, *, lang: str = "lang", text: str = "text", per_lan
 
 def identify(documents: DataFrame, model: Model, *, text: str = "text", reject: float = 0.0) -> DataFrame:
     """``documents`` with lang_pred and score (the best cosine)."""
-    kept = [c for c in documents.columns if c not in ("lang_pred", "score")]
+    kept = others(documents, ["lang_pred", "score"])
     schema = T.StructType([*[documents.schema[c] for c in kept], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.tables import table
+from llm.tables import others, table
 from llm.vocab import encoder, public_path
 
 OUTPUT_BYTES = 8 << 20
@@ -73,7 +73,7 @@ def character_offsets(packed: bytes, path: str) -> tuple[list[int], list[int]]:
 def _mapped(df: DataFrame, column: str, made: list[T.StructField], work: Callable[[list], list[list]]) -> DataFrame:
     """``df`` with columns that ``work`` makes from the values of ``column``, in batches of bounded output."""
     names = [f.name for f in made]
-    kept = [c for c in df.columns if c not in names]
+    kept = others(df, names)
     schema = T.StructType([*[df.schema[c] for c in kept], *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

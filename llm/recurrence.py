@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.tables import written
+from llm.tables import drop, fresh, written
 
 SPAN = "doc_id bigint, row bigint, start int, stop int"
 PIECE = "fp bigint, kinds bigint, doc_id bigint, row bigint, start int, n int, words binary"
@@ -25,20 +25,25 @@ def keyed(documents: DataFrame, text: str = "text") -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("doc_id", body).alias("row"), body.alias("text"))
 
 
-def recurring(found: DataFrame, recurs: Column) -> tuple[DataFrame, DataFrame]:
-    """(rows of ``found`` whose anchors recur, their distinct pieces).
+def recurring(found: DataFrame, recurs: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows of ``found`` whose anchors recur, their distinct pieces, anchors with several); drops ``found``.
 
     ``recurs`` is a condition on an anchor's n (places), lo and hi (least and greatest doc_id).
-    Distinct pieces have fp, ph, first (the first place), lo, hi, places, and kinds: how many
-    distinct pieces the anchor has.
+    Distinct pieces have fp, ph, first (the first place), lo, hi and places; the anchors have fp and
+    kinds, how many distinct pieces there are, which is 2 at least.
     """
     by = found.groupBy("fp").agg(F.count("*").alias("places"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where(recurs)
-    again = written(found.join(by.select("fp"), "fp"), "recurring")
+    # written apart, so that the joins are plain ones, whose hot keys Spark splits
+    by = written(by.select("fp"), "anchors-again")
+    again = written(found.join(by, "fp"), "recurring")
+    drop(found)
+    drop(by)
     pieces = again.groupBy("fp", "ph").agg(
         F.min(F.struct("doc_id", "row", "start", "n")).alias("first"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("places")
     )
-    kinds = pieces.groupBy("fp").agg(F.count("*").alias("kinds"))
-    return again, written(pieces.join(kinds, "fp"), "distinct")
+    pieces = written(pieces, "distinct")
+    kinds = written(pieces.groupBy("fp").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
+    return again, pieces, kinds
 
 
 def cut(documents: DataFrame, wanted: DataFrame, take: Callable[[bytes], Callable[[int, int], bytes]]) -> DataFrame:
@@ -69,8 +74,9 @@ def cut(documents: DataFrame, wanted: DataFrame, take: Callable[[bytes], Callabl
     return rows.mapInArrow(run, PIECE)
 
 
-def with_spans(documents: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
-    """``documents`` with ``spans_``: its spans (start, stop), null if it has none."""
-    lists = spans.groupBy("row").agg(F.collect_list(F.struct("start", "stop")).alias("spans_"))
+def with_spans(documents: DataFrame, spans: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """``documents`` with its spans (start, stop) as column ``name``, null if it has none."""
+    key = fresh(documents, "row")
+    lists = spans.groupBy(F.col("row").alias(key)).agg(F.collect_list(F.struct("start", "stop")).alias(name))
     row = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col(text), F.lit("")))
-    return documents.withColumn("row_", row).join(lists.withColumnRenamed("row", "row_"), "row_", "left").drop("row_")
+    return documents.withColumn(key, row).join(lists, key, "left").drop(key)

@@ -37,7 +37,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the files of a table from ``written`` that no later stage reads."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df.written_path)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def others(df: DataFrame, made: list[str]) -> list[str]:
+    """The columns of ``df`` that are not named, in any case, like one that is to be made."""
+    names = {c.lower() for c in made}
+    return [c for c in df.columns if c.lower() not in names]
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    names = {c.lower() for c in df.columns}
+    while name.lower() in names:
+        name += "_"
+    return name
 
 
 def shuffles(spark: SparkSession) -> int:
