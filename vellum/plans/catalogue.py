@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.plans import layout_queries
+from vellum.plans import layout_queries, table_queries
 from vellum.plans.fixtures import for_duckdb
 
-MODULES = (layout_queries,)
+MODULES = (layout_queries, table_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
