@@ -113,3 +113,37 @@ def location_token(value: Column, size: Column, grid: int = 500) -> Column:
     """``<loc_k>`` with k the position on a grid, rounded half to even and kept inside it."""
     k = F.greatest(F.lit(0), F.least(F.lit(grid - 1), F.bround(value / size * grid, 0).cast("int")))
     return F.concat(F.lit("<loc_"), k.cast("string"), F.lit(">"))
+
+
+@dataclass(frozen=True)
+class Quad:
+    """Four corners (x0, y0) to (x3, y3), the first the start of the baseline, in bottom-left origin."""
+
+    xs: tuple[Column, Column, Column, Column]
+    ys: tuple[Column, Column, Column, Column]
+
+    @staticmethod
+    def of(prefix: str = "") -> Quad:
+        return Quad(tuple(F.col(f"{prefix}x{i}") for i in range(4)), tuple(F.col(f"{prefix}y{i}") for i in range(4)))
+
+    @property
+    def width(self) -> Column:
+        return F.hypot(self.xs[1] - self.xs[0], self.ys[1] - self.ys[0])
+
+    @property
+    def height(self) -> Column:
+        return F.hypot(self.xs[3] - self.xs[0], self.ys[3] - self.ys[0])
+
+    @property
+    def degrees(self) -> Column:
+        """The direction of the baseline's middle line, 0 to 360, rounded half to even."""
+        dx = (self.xs[1] + self.xs[2] - self.xs[0] - self.xs[3]) / 2
+        dy = (self.ys[1] + self.ys[2] - self.ys[0] - self.ys[3]) / 2
+        flat, steep = F.abs(dy) < 1e-3, F.abs(dx) < 1e-3
+        angle = F.when(flat, 0.0).when(steep, F.signum(dy) * F.pi() / 2).otherwise(F.atan(F.try_divide(dy, dx)))
+        angle = F.pmod(angle + F.when(dx < 0, F.pi()).otherwise(0.0), 2 * F.pi())
+        return F.bround(angle / F.pi() * 180, 0).cast("int")
+
+    @property
+    def box(self) -> Box:
+        return Box(F.least(*self.xs), F.greatest(*self.ys), F.greatest(*self.xs), F.least(*self.ys), True)
