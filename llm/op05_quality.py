@@ -94,7 +94,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "quality", samp
     rows = documents.select("doc_id", "text").join(F.broadcast(taken), "doc_id")  # about ``sample`` pairs of numbers
     rows = rows.select("text", "label", order.alias("at"), "doc_id").repartition(1).sortWithinPartitions("at", "doc_id")
     found = rows.select("text", "label").mapInArrow(fit_stream, "weights binary").collect()
-    return np.frombuffer(found[0].weights, dtype="<f4")
+    return np.frombuffer(found[0].weights, dtype="<f4") if found else np.zeros(BUCKETS + 1, dtype=np.float32)
 
 
 def score(documents: DataFrame, weights: np.ndarray, *, text: str = "text") -> DataFrame:
