@@ -20,7 +20,7 @@ ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f
 #: With these absent, lower-casing letter by letter is the same in Python as in the tokenizer.
 WIDE = re.compile("[^\x00-\xff]")
 CHUNK = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+").findall
-MEMO = 1_000_000
+MEMO = 300_000
 
 
 def public_path(name: str) -> str:
