@@ -9,7 +9,8 @@
 3. Where an anchor has several different pieces, those of each anchor meet in a shard. A shard's
    text is its distinct pieces with separators; its suffix array is made by induced sorting, and
    permuted common prefixes of WINDOW or more mark both suffixes as repeated.
-   The windows of an anchor with over ``HOT`` pieces are first counted over all tasks; its pieces are
+   The windows of an anchor with over ``HOT`` pieces, where the core that ``GRID`` neighbours share
+   recurs, are first counted over all tasks; its pieces are
    dealt by a salt, and each salt also gets the pieces that hold the first or last place of a
    recurring window; no limit drops anything.
 
