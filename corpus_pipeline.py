@@ -6,8 +6,9 @@ no reason to reject:
 
 - quality: documents that the classifier scores under 0.5 go (op. 5, fitted on ``labels``);
 - language: documents without a letter, or far from every centroid, go (op. 9);
-- near_duplicates: one document of each group of linked ones stays, that of the smallest doc_id;
-  rows that repeat doc_id and text count as one; rows with a null doc_id stay (op. 7);
+- near_duplicates: documents are linked from a Jaccard index of 0.8 of their five-word shingles;
+  one of each group of linked ones stays, that of the smallest doc_id; rows that repeat doc_id
+  and text count as one; rows with a null doc_id stay (op. 7, whose query has 4 words and 0.85);
 - substring: words under 50-word windows of smaller documents go; a document that loses none keeps
   its text as it is, one that loses all stays with an empty text (op. 2);
 - packing: documents are tokenised and packed into sequences of 2048 (op. 3).
@@ -24,6 +25,9 @@ from llm.vocab import public_path
 
 #: Cosine under which a document is taken for no known language.
 REJECT = 0.05
+#: Near copies: words of a shingle, and the least Jaccard index of two linked documents in percent.
+SHINGLE = 5
+NEAR = 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +42,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = op07_jaccard_join.join(docs, distinct=True)
+    found = op07_jaccard_join.join(docs, k=SHINGLE, percent=NEAR, distinct=True)
     return found.where("doc_id is null or doc_id = component_id").select(*docs.columns)
 
 

@@ -68,3 +68,17 @@ def test_stages_take_odd_and_no_rows(spark, odd, at):
     if name == "packing":
         assert set(ids) == {r[0] for r in ROWS}
     assert stage(spark, odd.limit(0), SMALL).count() == 0
+
+
+def test_near_duplicates_are_linked_from_four_fifths_of_five_word_shingles(spark):
+    def edited(name, at):
+        return " ".join(f"{name}x{i}" if i in at else f"{name}{i}" for i in range(190))
+
+    def jaccard(a, b, k):
+        a, b = ({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} for w in (a.split(), b.split()))
+        return len(a & b) / len(a | b)
+
+    near, far = [edited("a", ()), edited("a", (30, 70, 110, 150))], [edited("b", ()), edited("b", (20, 50, 80, 110, 150))]
+    assert jaccard(*near, 5) >= 0.8 and jaccard(*near, 4) < 0.85 and jaccard(*far, 5) < 0.8
+    docs = spark.createDataFrame(list(enumerate(near + far)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 2, 3]
