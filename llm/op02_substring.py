@@ -10,7 +10,8 @@ goes if a window over it also starts in a document with a smaller doc_id.
    first lose the whole piece. This takes hot groups of copies down to one piece each.
 3. Where an anchor has several different pieces, those of each anchor meet in a shard. Windows
    that recur there are confirmed, compiled into an Aho-Corasick automaton over words, and every
-   piece is streamed through it; each hit on a window from a smaller doc_id goes.
+   piece is streamed through it; each hit on a window from a smaller doc_id goes, at every place
+   where the first document has the piece.
    An anchor with over ``HOT`` pieces is confirmed by a distributed count first, and its pieces are
    dealt by a salt, each salt with the confirmed windows; no limit drops anything.
 
@@ -32,13 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.hashing import assigned, merged, mix, prefix, ranges, slices, windows, word_hashes
-from llm.recurrence import SPAN, cut, keyed, recurring, with_spans
+from llm.recurrence import cut, keyed, recurring, with_spans
 from llm.tables import fresh, others, table, written
 
 WINDOW = 50
 ANCHOR = 10
 HOT = 256
 SHARD = 2000
+HIT = "fp bigint, row bigint, at int, doc_id bigint, start int, stop int"
 
 
 def anchors(documents: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -109,10 +111,10 @@ def located(texts: list[bytes], docs: np.ndarray, patterns: list[tuple[tuple[int
 
 
 def locate(pieces: DataFrame, window: int, hot: int, shard: int) -> DataFrame:
-    """Spans of the pieces' documents that recur in a smaller document; pieces are read repeatedly."""
+    """Spans of the pieces that recur in a smaller document, from the piece's place ``at``; pieces are read repeatedly."""
     count = pieces.count()
     if not count:
-        return pieces.sparkSession.createDataFrame([], SPAN)
+        return pieces.sparkSession.createDataFrame([], HIT)
     common = pieces.where(F.col("kinds") > hot)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,13 +157,20 @@ def locate(pieces: DataFrame, window: int, hot: int, shard: int) -> DataFrame:
             patterns.append((tuple(codes[offsets[i] : offsets[i + 1]].tolist()), int(docs[i])))
         hits = [x for x in located(texts, docs, patterns, codes, offsets, window) if kind[x[0]] != 1]
         at = np.array([x[0] for x in hits], dtype=np.int64)
-        start = group.start.to_numpy()[at]
         return pd.DataFrame({
-            "doc_id": docs[at], "row": group.row.to_numpy()[at],
-            "start": start + np.array([x[1] for x in hits], dtype=np.int64), "stop": start + np.array([x[2] for x in hits], dtype=np.int64),
+            "fp": group.fp.to_numpy()[at], "row": group.row.to_numpy()[at], "at": group.start.to_numpy()[at], "doc_id": docs[at],
+            "start": np.array([x[1] for x in hits], dtype=np.int64), "stop": np.array([x[2] for x in hits], dtype=np.int64),
         })
 
-    return rows.groupBy("shard").applyInPandas(one_shard, SPAN)
+    return rows.groupBy("shard").applyInPandas(one_shard, HIT)
+
+
+def more_places(again: DataFrame, distinct: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(fp, row, at, own, to): the other places (own, to) that the first document of a piece has it at, its first being (row, at)."""
+    first = distinct.where("places > 1").join(kinds, "fp", "left_semi").select("fp", "ph", "first.row", F.col("first.start").alias("at"), "lo")
+    own = again.select("fp", "ph", "doc_id", F.col("row").alias("own"), F.col("start").alias("to"))
+    same = own.join(first, ["fp", "ph"]).where("doc_id = lo and (own <> row or to <> at)")
+    return same.select("fp", "row", "at", "own", "to").distinct()
 
 
 def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT, shard: int = SHARD) -> DataFrame:
@@ -177,8 +186,12 @@ def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = A
         words = text.split()
         return lambda start, n: b" ".join(words[start : start + n + window - 1])
 
+    more = written(more_places(again, distinct, kinds), "more-places")
     pieces = written(cut(documents, wanted, take), "pieces")
-    return whole.unionByName(locate(pieces, window, hot, shard))
+    hits = written(locate(pieces, window, hot, shard), "hits")
+    span = lambda row, at: ["doc_id", F.col(row).alias("row"), *[(F.col(at) + F.col(c)).alias(c) for c in ("start", "stop")]]
+    repeats = hits.join(more, ["fp", "row", "at"]).select(*span("own", "to"))
+    return whole.unionByName(hits.select(*span("row", "at"))).unionByName(repeats)
 
 
 def dedup(documents: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT, shard: int = SHARD) -> DataFrame:

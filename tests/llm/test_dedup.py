@@ -73,6 +73,20 @@ def test_passages_of_smaller_documents_go(documents, rows, hot, shard):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in found) == sorted(expected)
 
 
+@pytest.mark.parametrize("hot,shard", [(256, 2000), (2, 5)])
+def test_passages_go_from_every_place_of_a_document(spark, hot, shard):
+    rng = random.Random(5)
+    passage, other, far = words(rng, 70), words(rng, 60), [words(rng, 60) for _ in range(8)]
+    own, by = f"{words(rng, 60)} {passage} {words(rng, 60)}", f"{words(rng, 60)} {other} {words(rng, 60)}"
+    rows = [
+        (3, f"{far[0]} {passage} {far[1]}"), (5, f"{far[2]} {own} {far[3]} {own} {far[4]} {own}"),
+        (4, f"{far[5]} {other} {far[6]}"), (7, f"{far[7]} {by}"), (7, f"{by} {far[0][:40]}"),
+    ]
+    found = op02_substring.dedup(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot, shard=shard).collect()
+    expected = [(i, text if i < 5 else " ".join(text.replace(passage, "").replace(other, "").split())) for i, text in rows]
+    assert sorted((r.doc_id, r.kept) for r in found) == sorted(expected)
+
+
 @pytest.mark.parametrize("work", [op01_suffix_array.dedup, op02_substring.dedup, op07_jaccard_join.join])
 def test_empty_tables(spark, work):
     assert work(spark.createDataFrame([], SCHEMA)).count() == 0
