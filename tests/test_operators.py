@@ -97,6 +97,19 @@ def test_markdown_table_aligns_numbers(spark):
     assert tables.to_markdown(slots, texts).first().markdown == "| name |   n |\n|------|----:|\n| a    |  12 |"
 
 
+@pytest.mark.parametrize("query", ["text_quality_score", "page_parse_score_p10", "confidence_report", "text_unicode_clean", "text_ligatures", "text_md_escape"])
+def test_texts_are_read_to_their_ends(spark, tmp_path, query):
+    from vellum.plans import catalogue
+
+    def found(name, end):
+        row = [(11, "plain words " * 50 + end + " more" * 5, "en", "web")]
+        spark.createDataFrame(row, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(11, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        return catalogue.queries()[query](spark, f"{tmp_path}/{name}").collect()
+
+    assert found("plain", "end") != found("broken", "GLYPH<0A> “q” ﬁn a_b")
+
+
 def test_entry_works_without_the_optional_part(tmp_path):
     import shutil
     import subprocess

@@ -53,7 +53,7 @@ SELECT table_id, cell_id AS token_id, x1 + 5 + (table_id % 4) * 15 AS x1, CASE W
     "d_elements": """
 SELECT p.doc_id, p.page_no, c.cluster_id, c.label, c.l, 792 - c.t AS t, c.r, 792 - c.b AS b FROM d_clusters c JOIN d_pages p ON p.page_id = c.page_id""",
     "d_texts": """
-SELECT doc_id, lang, source, substring(text, 1, 400) || CASE doc_id % 12
+SELECT doc_id, lang, source, text || CASE doc_id % 12
  WHEN 0 THEN ' GLYPH<0A1F>' WHEN 1 THEN ' x/G12/G34' WHEN 2 THEN ' a/bc.de/fg.hi b/bc.de/fg.hi c/bc.de/fg.hi'
  WHEN 3 THEN ' snake_case_name ‘q’' WHEN 4 THEN ' “q” – dash' WHEN 5 THEN ' bad�char' WHEN 6 THEN ' hyphen-'
  WHEN 7 THEN ' ﬁne ﬂow' WHEN 8 THEN ' 1⁄2 • <b>&' WHEN 9 THEN ' ________________' ELSE '' END AS text FROM {documents}""",
