@@ -110,6 +110,14 @@ def test_texts_are_read_to_their_ends(spark, tmp_path, query):
     assert found("plain", "end") != found("broken", "GLYPH<0A> “q” ﬁn a_b")
 
 
+def test_large_tables_are_aligned_to_tokens(spark):
+    tokens = [(t, i, 10.0 * i, 1.0, 10.0 * i + 8, 9.0) for t, n in ((1, 300), (2, 301), (3, 2000)) for i in range(n)]
+    final = spark.createDataFrame([(t, i, i // 2) for t, i, *_ in tokens], "table_id long, token_id long, cell_id long")
+    cells = tables.aligned_to_tokens(final, spark.createDataFrame(tokens, "table_id long, token_id long, x1 double, y1 double, x2 double, y2 double")).collect()
+    assert {t: sum(c.table_id == t for c in cells) for t in (1, 2, 3)} == {1: 150, 2: 151, 3: 1000}
+    assert next(tuple(c) for c in cells if c.table_id == 2 and c.cell_id == 3) == (2, 3, 60.0, 1.0, 78.0, 9.0)
+
+
 def test_entry_works_without_the_optional_part(tmp_path):
     import shutil
     import subprocess

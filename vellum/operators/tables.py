@@ -94,10 +94,9 @@ def final_assignment(matches: DataFrame) -> DataFrame:
     return matches.withColumn("n", F.row_number().over(order)).where("n = 1").select("table_id", "token_id", "cell_id")
 
 
-def aligned_to_tokens(final: DataFrame, tokens: DataFrame, most: int = 300) -> DataFrame:
-    """Cells' boxes drawn around their tokens; cells without one are gone; tables of over ``most`` tokens give none."""
-    few = tokens.groupBy("table_id").agg(F.count("*").alias("n")).where(F.col("n") <= most)
-    joined = final.join(tokens, ["table_id", "token_id"]).join(few, "table_id", "left_semi")
+def aligned_to_tokens(final: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Cells' boxes drawn around their tokens, in tables of every size; cells without one are gone."""
+    joined = final.join(tokens, ["table_id", "token_id"])
     return joined.groupBy("table_id", "cell_id").agg(F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"))
 
 
