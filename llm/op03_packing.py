@@ -9,7 +9,7 @@ other set that could share its sequence is fixed for good and taken out, the lon
 Dominance used here, for a piece j and the longest piece a that fits beside it:
 - nothing fits beside j: {j};
 - j and a fill the sequence exactly: {j, a};
-- no two pieces fit beside j, or the best two that fit are together no longer than a: {j, a}.
+- no two pieces fit beside j, or no three do and the best two are together no longer than a: {j, a}.
 What is left is packed by best fit in order of decreasing length. Runs of equal steps are taken
 at once, so the time depends on the number of distinct lengths and not on the number of pieces.
 
@@ -84,7 +84,7 @@ def reduce_histogram(counts: dict[int, int], capacity: int) -> tuple[list[tuple[
                 drop(j, left[j])
                 break
             a = lengths[at]  # the longest that fits beside j, be it longer or shorter than j
-            if j + a != capacity and _best_pair(lengths, left, room, j) > a:
+            if j + a != capacity and (_three_fit(lengths, left, room, j) or _best_pair(lengths, left, room, j) > a):
                 break
             n = left[j] // 2 if a == j else min(left[j], left[a])
             fixed.append((n, (j, a)))
@@ -93,6 +93,17 @@ def reduce_histogram(counts: dict[int, int], capacity: int) -> tuple[list[tuple[
     return fixed, dict(left)
 
 
+def _three_fit(lengths: list[int], left: Counter, room: int, j: int) -> bool:
+    """Whether the three shortest pieces beside one of length j come to at most ``room``."""
+    need = 3
+    for x in lengths:
+        n = min(need, left[x] - (x == j))
+        need, room = need - n, room - n * x
+        if not need or room < 0:
+            break
+    return not need and room >= 0
+
+
 def _best_pair(lengths: list[int], left: Counter, room: int, j: int) -> int:
     """The greatest sum, up to ``room``, of two pieces beside one of length j; 0 if no two fit."""
     low, high, best = 0, bisect_right(lengths, room) - 1, 0

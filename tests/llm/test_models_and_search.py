@@ -85,6 +85,20 @@ def test_reduction_keeps_the_optimum():
         assert used + least_bins(rest, 20) == least_bins(sizes, 20)
 
 
+def test_reduction_leaves_what_three_pieces_may_beat():
+    counts = {50: 1, 40: 1, 20: 3, 16: 3}
+    fixed, left = op03_packing.reduce_histogram(counts, 100)
+    assert not [s for n, s in fixed if set(s) == {50, 40}]
+    rest = [x for x, n in left.items() for _ in range(n)]
+    assert sum(n for n, _ in fixed) + least_bins(sorted(rest, reverse=True), 100) == 2
+    rng = random.Random(7)
+    for _ in range(150):
+        sizes = sorted((rng.choice([9, 10, 12, 13, 16, 20, 24, 30, 40, 50]) for _ in range(9)), reverse=True)
+        fixed, left = op03_packing.reduce_histogram({x: sizes.count(x) for x in sizes}, 60)
+        rest = sorted((x for x, n in left.items() for _ in range(n)), reverse=True)
+        assert sum(n for n, _ in fixed) + least_bins(rest, 60) == least_bins(sizes, 60)
+
+
 def test_quality_on_held_out_rows(spark):
     found = op05_quality.op5_quality_classifier(spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
