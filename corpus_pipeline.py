@@ -5,7 +5,8 @@ DataFrame; all but the last return the columns of docs. Filters keep every docum
 no reason to reject:
 
 - quality: documents that the classifier scores under 0.5 go (op. 5, fitted on ``labels``);
-- language: documents without a letter, or far from every centroid, go (op. 9);
+- language: documents without a letter, or farther from every centroid than held-out documents of
+  their length or more by ``SLACK``, go (op. 9);
 - near_duplicates: documents are linked from a Jaccard index of 0.8 of their five-word shingles;
   one of each group of linked ones stays, that of the smallest doc_id; rows that repeat doc_id
   and text count as one; rows with a null doc_id stay (op. 7, whose query has 4 words and 0.85);
@@ -16,14 +17,17 @@ no reason to reject:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import op02_substring, op03_packing, op05_quality, op07_jaccard_join, op09_language
 from llm.tables import held_out, table, written
 from llm.vocab import public_path
 
-#: Cosine under which a document is taken for no known language.
+#: Share of the LOW quantile of held-out cosines under which a document is taken for no known language, and that quantile.
+SLACK = 0.75
+LOW = 0.01
+#: The least cosine where no held-out document is as long.
 REJECT = 0.05
 #: Near copies: words of a shingle, and the least Jaccard index of two linked documents in percent.
 SHINGLE = 5
@@ -36,9 +40,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 1").select(*docs.columns)
 
 
+def least_cosine(docs: DataFrame, model: op09_language.Model) -> Column:
+    """The cosine that a document needs, by its length in powers of two; shorter texts never need more than longer ones."""
+    size = F.floor(F.log2(F.length("text") + F.lit(1.0))).cast("int")
+    held = op09_language.identify(docs.where("lang is not null").where(held_out("doc_id", 4, 2)), model).where("lang_pred = lang")
+    low = dict(map(tuple, held.groupBy(size.alias("size")).agg(F.percentile_approx("score", LOW)).collect()))
+    needed, least = [], None
+    for n in range(31, -1, -1):
+        if n in low:
+            least = min(low[n], low[n] if least is None else least)
+        needed.append(F.lit(REJECT if least is None else SLACK * least))
+    return F.element_at(F.array(*reversed(needed)), size + 1)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = op09_language.fit(docs.where(~held_out("doc_id", 4, 2)))
-    return op09_language.identify(docs, model, reject=REJECT).where("lang_pred <> 'und'").select(*docs.columns)
+    found = op09_language.identify(docs, model)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least_cosine(docs, model))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

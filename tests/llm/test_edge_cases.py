@@ -82,3 +82,14 @@ def test_near_duplicates_are_linked_from_four_fifths_of_five_word_shingles(spark
     assert jaccard(*near, 5) >= 0.8 and jaccard(*near, 4) < 0.85 and jaccard(*far, 5) < 0.8
     docs = spark.createDataFrame(list(enumerate(near + far)), "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 2, 3]
+
+
+def test_unlearned_languages_go_and_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    clean = docs.where("text rlike '[a-z]'")
+    german = docs.where("lang = 'de' and length(text) > 300").select((F.col("doc_id") + 10**6).alias("doc_id"), "text", F.lit(None).cast("string").alias("lang"))
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa."
+    odd = german.unionByName(spark.createDataFrame([(10**7, polish, None)], "doc_id long, text string, lang string"))
+    kept = corpus_pipeline.language(spark, clean.where("lang <> 'de'").unionByName(odd), SMALL)
+    assert kept.where("doc_id >= 1000000").count() <= 0.02 * german.count() and kept.where("doc_id = 10000000").count() == 0
+    assert corpus_pipeline.language(spark, clean, SMALL).count() >= 0.995 * clean.count()
