@@ -147,3 +147,13 @@ def test_jaccard_components(spark, block):
     found = op07_jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()
     expected = [(str(doc_id), len(sets[a]), least.get(root(a))) for a, (doc_id, _) in enumerate(rows)]
     assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in found) == sorted(expected)
+
+
+@pytest.mark.parametrize("flags", ["none", "all", "half"])
+def test_links_do_not_depend_on_which_shingles_are_common(spark, rows, monkeypatch, flags):
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    joined = lambda: sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in op07_jaccard_join.join(documents).collect())
+    expected = joined()
+    every = np.unique(np.concatenate([op07_jaccard_join.shingles(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]), 4, np.empty(0, np.uint64))[0] for _, t in rows]))
+    monkeypatch.setattr(op07_jaccard_join, "common_shingles", lambda *_: {"none": every[:0], "all": every, "half": every[::2]}[flags])
+    assert joined() == expected
