@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from llm.hashing import slices
 from llm.tables import others, shuffles, table, written
 from llm.vocab import encoder, public_path
 
@@ -47,11 +48,10 @@ def pieces_of(documents: DataFrame, path: str, capacity: int = CAPACITY, *, with
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
-                one, rows = encoder(path, False), []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    ids = one.encode(text.as_py() or "") + SEPARATOR
+            for first, last, _, _ in slices(batch.column(1)):
+                part, rows = batch.slice(first, last - first), []
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder(path, False).encode(part.column(1)), strict=True):
+                    ids += SEPARATOR
                     for k, at in enumerate(range(0, len(ids), step)):
                         own = ids[at : at + step]
                         rows.append((doc_id, k, at // 4, len(own) // 4, zlib.crc32(own), own))

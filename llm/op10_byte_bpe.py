@@ -111,8 +111,7 @@ def encode(
         made += [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("starts", "stops")]
 
     def work(texts: list) -> list[list]:
-        one = encoder(path, True)
-        packed = [one.encode(t or "") for t in texts]
+        packed = encoder(path, True).encode(pa.array(texts, pa.string()))
         out = [packed]
         if decoded:
             out.append([decode_ids(p, path) for p in packed])

@@ -5,22 +5,30 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from llm import op03_packing, op04_multi_index, op05_quality, op06_url_filters, op08_exact_top_k, op09_language, op10_byte_bpe
+from llm import op03_packing, op04_multi_index, op05_quality, op06_url_filters, op08_exact_top_k, op09_language, op10_byte_bpe, vocab
 from llm.tables import held_out
-from llm.vocab import Encoder, public_path
+from llm.vocab import public_path
 
 ODD = ["a  b\n\n c  ", "x \n", "  lead", "it's 'S DON'T ıİΣς", "a\n \n b", "é́ ́x", "tab\t\tx  \r\n y", "<|endoftext|> x", "", " ", "\n", "a ", "日本 語　x", "ÀÉ ß ÿ", "a\u2003\n\nb"]
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("name,spaced", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
-def test_word_by_word_encoding_is_the_same_as_whole(name, spaced):
-    one = Encoder(public_path(name), spaced)
-    for text in ODD:
-        assert one.encode(text) == one.whole(text), text
+def test_encoding_by_pieces_is_the_same_as_whole(name, spaced, monkeypatch):
+    monkeypatch.setattr(vocab, "SLICE", 4000)
+    monkeypatch.setattr(vocab, "MEMO", 50)
+    draw = random.Random(3)
+    alphabets = ["  \t\nabsStTrReEvVlLmMdD''''12,.\u00e9", " \x0b\x0caA\u0130\u0131\u00df\u03a3\u03c21,.'\u2019 \u200b\u0301\u00c9\u00b2\u00bd\u6f22<|>\x1c\x85_\ud7ff"]
+    texts = ODD + ["".join(draw.choice(a) for _ in range(draw.randrange(30))) for a in alphabets for _ in range(3000)]
+    texts += [f"a{chr(c)}{chr(c)} {chr(c)}1" for c in range(vocab.PLAIN + 200)] + ["word " * 3000]
+    one = vocab.Encoder(public_path(name), spaced)
+    found, whole = one.encode(pa.array([*texts, None])), vocab.packed(one.tokenizer, [*texts, ""])
+    assert [t for t, x, y in zip(texts, found, whole, strict=False) if x != y] == []
+    assert found[-1] == b""
 
 
 def test_byte_bpe_matches_the_ranks_and_decodes(spark):
