@@ -1,6 +1,6 @@
 """Vectorised hashing of text held in Arrow arrays.
 
-Everything works on flat byte buffers cut into slices of a few megabytes, so that a task's
+Everything works on flat byte buffers cut into slices of half a megabyte, so that a task's
 memory is bounded by one slice, or by the longest single document where that is longer.
 Hashes are polynomials modulo 2**64 with an odd base; a prefix sum gives the hash of any
 range in constant time, because an odd base has an inverse.
@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 #: ASCII white space that separates words: \x20 and \x09-\x0D.
 SPACE = np.zeros(256, dtype=bool)

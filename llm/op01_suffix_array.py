@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from llm.hashing import assigned, flat, merged, mix, prefix, ranges, slices, windows
 from llm.recurrence import SPAN, cut, keyed, recurring, with_spans
 from llm.suffix_array import permuted_prefixes, suffix_array
-from llm.tables import fresh, others, table, written
+from llm.tables import fresh, in_batches, in_groups, others, table, written
 
 WINDOW = 200
 ANCHOR = 40
@@ -66,7 +66,7 @@ def anchors(documents: DataFrame, window: int, anchor: int) -> DataFrame:
                     names=["doc_id", "row", "fp", "ph", "start", "n"],
                 )
 
-    return documents.mapInArrow(run, "doc_id bigint, row bigint, fp bigint, ph bigint, start int, n int")
+    return in_batches(documents, run, "doc_id bigint, row bigint, fp bigint, ph bigint, start int, n int")
 
 
 def repeated(pieces: list[bytes], counts: np.ndarray, window: int) -> np.ndarray:
@@ -139,10 +139,10 @@ def locate(pieces: DataFrame, window: int, anchor: int, hot: int, shard: int) ->
     # Hot anchors: which windows recur is counted over all tasks, and the pieces of each one's first and last
     # places are sources: every other place meets the first, and the first meets the last. GRID neighbouring windows share a core; only windows whose core recurs can, so the others are not made.
     named = common.select("fp", "n", "words", F.xxhash64("row", "start").alias("id"))
-    core = named.mapInArrow(cores, "fp bigint, core bigint, id bigint, low int, high int")
+    core = in_batches(named, cores, "fp bigint, core bigint, id bigint, low int, high int")
     again = core.groupBy("fp", "core").agg(F.count("*").alias("places")).where("places > 1").select("fp", "core")
     open_ = core.join(again, ["fp", "core"]).join(named.select("fp", "id", "words"), ["fp", "id"])
-    found = open_.select("fp", "low", "words", "id", "high").mapInArrow(hashed, "fp bigint, h bigint, id bigint")
+    found = in_batches(open_.select("fp", "low", "words", "id", "high"), hashed, "fp bigint, h bigint, id bigint")
     ends = found.groupBy("fp", "h").agg(F.count("*").alias("places"), F.array(F.min("id"), F.max("id")).alias("ids")).where("places > 1")
     sources = ends.select("fp", F.explode("ids").alias("id")).distinct()
     salts = F.ceil(F.col("kinds") / hot).cast("int")
@@ -168,7 +168,7 @@ def locate(pieces: DataFrame, window: int, anchor: int, hot: int, shard: int) ->
         offset = group.start.to_numpy()[at] - (np.cumsum(n) - n)[at]
         return pd.DataFrame({"doc_id": group.doc_id.to_numpy()[at], "row": group.row.to_numpy()[at], "start": begin + offset, "stop": stop + offset + window - 1})
 
-    return rows.groupBy("shard").applyInPandas(one_shard, SPAN)
+    return in_groups(rows.groupBy("shard"), one_shard, SPAN)
 
 
 def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT, shard: int = SHARD) -> DataFrame:
@@ -215,7 +215,7 @@ def dedup(documents: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, h
                 columns = [part.column(part.schema.get_field_index(c)) for c in own]
                 yield pa.RecordBatch.from_arrays([*columns, *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True))], names=[*own, *made])
 
-    return rows.mapInArrow(run, schema)
+    return in_batches(rows, run, schema)
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

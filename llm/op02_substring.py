@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from llm.hashing import assigned, merged, mix, prefix, ranges, slices, windows, word_hashes
 from llm.recurrence import cut, keyed, recurring, with_spans
-from llm.tables import fresh, others, table, written
+from llm.tables import fresh, in_batches, in_groups, others, table, written
 
 WINDOW = 50
 ANCHOR = 10
@@ -63,7 +63,7 @@ def anchors(documents: DataFrame, window: int, anchor: int) -> DataFrame:
                 columns = [ids[first + own], keys[first + own], hashes[pos].view(np.int64), ph.view(np.int64), (begin - rows[own]).astype(np.int32), (end - begin + 1).astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "row", "fp", "ph", "start", "n"])
 
-    return documents.mapInArrow(run, schema)
+    return in_batches(documents, run, schema)
 
 
 def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +129,7 @@ def locate(pieces: DataFrame, window: int, hot: int, shard: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["fp", "h", "doc_id", "row", "start"])
 
     # hot anchors: which windows recur is counted over all tasks; the first of each becomes a pattern
-    found = common.select("fp", "n", "words", "doc_id", "row", "start").mapInArrow(hashed, "fp bigint, h bigint, doc_id bigint, row bigint, start int")
+    found = in_batches(common.select("fp", "n", "words", "doc_id", "row", "start"), hashed, "fp bigint, h bigint, doc_id bigint, row bigint, start int")
     recurring = found.groupBy("fp", "h").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.max("doc_id").alias("hi"))
     recurring = recurring.where("first.doc_id < hi").select("fp", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.start").alias("at"))
     source = common.select("fp", "doc_id", "row", "start", "n", "words", "kinds")
@@ -162,7 +162,7 @@ def locate(pieces: DataFrame, window: int, hot: int, shard: int) -> DataFrame:
             "start": np.array([x[1] for x in hits], dtype=np.int64), "stop": np.array([x[2] for x in hits], dtype=np.int64),
         })
 
-    return rows.groupBy("shard").applyInPandas(one_shard, HIT)
+    return in_groups(rows.groupBy("shard"), one_shard, HIT)
 
 
 def more_places(again: DataFrame, distinct: DataFrame, kinds: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def dedup(documents: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, h
                 columns = [part.column(part.schema.get_field_index(c)) for c in own]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(left, pa.string())], names=[*own, *made])
 
-    return rows.mapInArrow(run, schema)
+    return in_batches(rows, run, schema)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

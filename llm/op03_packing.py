@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm.hashing import slices
-from llm.tables import others, shuffles, table, written
+from llm.tables import in_batches, others, shuffles, table, written
 from llm.vocab import encoder, public_path
 
 CAPACITY = 2048
@@ -58,7 +58,7 @@ def pieces_of(documents: DataFrame, path: str, capacity: int = CAPACITY, *, with
                 columns = list(zip(*rows, strict=True))[: len(names)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=False)], names=names)
 
-    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
+    return in_batches(documents.select(F.col("doc_id").cast("bigint"), "text"), run, schema)
 
 
 def reduce_histogram(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, tuple[int, ...]]], dict[int, int]]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.tables import table
+from llm.tables import in_batches, table
 from llm.vectors import BLOCK, best, divisible, matrix, meet, sampled, top, usable
 
 CENTROIDS = 32
@@ -135,7 +135,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, visit: float
             packed = pa.array([r.tobytes() for r in x.astype("<f4")], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(index.cells(x), pa.int64()), packed], names=["vec_id", "cell", "vector"])
 
-    entries = vectors.mapInArrow(placed, "vec_id bigint, cell bigint, vector binary")
+    entries = in_batches(vectors, placed, "vec_id bigint, cell bigint, vector binary")
     index.set_counts({r.cell: r["count"] for r in entries.groupBy("cell").count().collect()})
     enough = max(k + 1, int(np.ceil(visit * count)))
 
@@ -184,8 +184,8 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, visit: float
             out.append(pd.DataFrame({"query_id": own, "vec_id": ids[near][keep], "score": exact[keep]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    rows = entries.mapInArrow(dealt, "vec_id bigint, cell bigint, vector binary, block bigint")
-    asked = queries.mapInArrow(routed, "query_id bigint, block bigint, vector binary, cells binary")
+    rows = in_batches(entries, dealt, "vec_id bigint, cell bigint, vector binary, block bigint")
+    asked = in_batches(queries, routed, "query_id bigint, block bigint, vector binary, cells binary")
     return best(meet(rows, asked, n_queries, schema, rerank), k)
 
 

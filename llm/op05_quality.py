@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.hashing import mix, slices, word_hashes
-from llm.tables import held_out, others, table
+from llm.tables import held_out, in_batches, others, table
 
 BUCKETS = 1 << 18
 SAMPLE_DOCUMENTS = 12_000
@@ -93,7 +93,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, label: str = "quality", samp
     taken = labels.where(order < int((1 << 30) * min(1.0, sample / n)))
     rows = documents.select("doc_id", "text").join(F.broadcast(taken), "doc_id")  # about ``sample`` pairs of numbers
     rows = rows.select("text", "label", order.alias("at"), "doc_id").repartition(1).sortWithinPartitions("at", "doc_id")
-    found = rows.select("text", "label").mapInArrow(fit_stream, "weights binary").collect()
+    found = in_batches(rows.select("text", "label"), fit_stream, "weights binary").collect()
     return np.frombuffer(found[0].weights, dtype="<f4") if found else np.zeros(BUCKETS + 1, dtype=np.float32)
 
 
@@ -115,7 +115,7 @@ def score(documents: DataFrame, weights: np.ndarray, *, text: str = "text") -> D
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out), pa.array((out >= 0.5).astype(np.int32))], names=[*kept, "score", "predicted"])
 
-    return documents.mapInArrow(run, schema)
+    return in_batches(documents, run, schema)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

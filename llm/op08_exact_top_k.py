@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.tables import table
+from llm.tables import in_batches, table
 from llm.vectors import BLOCK, best, divisible, matrix, meet, sampled, top, usable
 
 SCALE = 1024
@@ -53,7 +53,7 @@ def integers(vectors: DataFrame) -> DataFrame:
                 [batch.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(norm)], names=["vec_id", "vector", "norm"]
             )
 
-    return rows.mapInArrow(packed, "vec_id bigint, vector binary, norm double")
+    return in_batches(rows, packed, "vec_id bigint, vector binary, norm double")
 
 
 def products(data: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -137,7 +137,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 10, sample: int =
             out.append(pd.DataFrame({"query_id": own, "vec_id": ids[rows][keep], "score": scores[keep]}))
         return pd.concat(out)
 
-    asked = queries.mapInArrow(routed, "query_id bigint, block bigint, vector binary, theta double")
+    asked = in_batches(queries, routed, "query_id bigint, block bigint, vector binary, theta double")
     return best(meet(rows.select("vec_id", "norm", "vector", "block"), asked, n_queries, schema, verify), k)
 
 

@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.hashing import slices
-from llm.tables import held_out, others, table
+from llm.tables import held_out, in_batches, in_groups, others, table
 
 DIMENSIONS = 1 << 12
 CENTROIDS = 3
 PER_LANGUAGE = 800
-ROWS = 512
+ROWS = 128
 
 FOLD = np.arange(256, dtype=np.uint32)
 FOLD[:128] = 0x20
@@ -101,7 +101,7 @@ def fit(documents: DataFrame, *, lang: str = "lang", text: str = "text", per_lan
                     names=["lang", "doc_id", "dimensions", "counts"],
                 )
 
-    sample = rows.mapInArrow(counted, "lang string, doc_id bigint, dimensions array<bigint>, counts array<bigint>").persist()
+    sample = in_batches(rows, counted, "lang string, doc_id bigint, dimensions array<bigint>, counts array<bigint>").persist()
     n = sample.count()
     idf = np.full(DIMENSIONS, np.log(1 + n) + 1, dtype=np.float32)
     for r in sample.select(F.explode("dimensions").alias("d")).groupBy("d").count().collect():
@@ -114,7 +114,7 @@ def fit(documents: DataFrame, *, lang: str = "lang", text: str = "text", per_lan
             dense[i, d] = c
         return pd.DataFrame({"lang": group.lang.iloc[0], "centroid": [c.tobytes() for c in cluster(vectors(dense, idf), k)]})
 
-    found = sample.groupBy("lang").applyInPandas(centroids, "lang string, centroid binary").collect()
+    found = in_groups(sample.groupBy("lang"), centroids, "lang string, centroid binary").collect()
     sample.unpersist()
     found.sort(key=lambda r: (r.lang, bytes(r.centroid)))
     return Model(idf, np.array([np.frombuffer(r.centroid, np.float32) for r in found]).reshape(-1, DIMENSIONS), [r.lang for r in found])
@@ -140,7 +140,7 @@ def identify(documents: DataFrame, model: Model, *, text: str = "text", reject:
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(names[best], pa.string()), pa.array(value)], names=[*kept, "lang_pred", "score"])
 
-    return documents.mapInArrow(run, schema)
+    return in_batches(documents, run, schema)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.tables import others, table
+from llm.tables import in_batches, others, table
 from llm.vocab import encoder, public_path
 
 OUTPUT_BYTES = 8 << 20
@@ -96,7 +96,7 @@ def _mapped(df: DataFrame, column: str, made: list[T.StructField], work: Callabl
                         )
                     first, size = stop, 0
 
-    return df.mapInArrow(run, schema)
+    return in_batches(df, run, schema)
 
 
 def encode(

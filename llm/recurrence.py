@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.tables import drop, fresh, written
+from llm.tables import drop, fresh, in_batches, written
 
 SPAN = "doc_id bigint, row bigint, start int, stop int"
 PIECE = "fp bigint, kinds bigint, doc_id bigint, row bigint, start int, n int, words binary"
@@ -71,7 +71,7 @@ def cut(documents: DataFrame, wanted: DataFrame, take: Callable[[bytes], Callabl
                 columns = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[c.split()[0] for c in PIECE.split(", ")])
 
-    return rows.mapInArrow(run, PIECE)
+    return in_batches(rows, run, PIECE)
 
 
 def with_spans(documents: DataFrame, spans: DataFrame, name: str, text: str = "text") -> DataFrame:

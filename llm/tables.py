@@ -2,15 +2,61 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: What a Python worker gets of a table at a time, and the setting that bounds it, which is 64 MB by default.
+BATCH, BATCHES = "4m", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Python workers get rows in batches of ``BATCH``, unless the session sets a smaller bound than the default."""
+    if spark.conf.get(BATCHES) == "67108864b":
+        spark.conf.set(BATCHES, BATCH)
+
+
+def give_back() -> None:
+    """Return to the system what numpy and Arrow keep for reuse: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def in_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """``df.mapInArrow`` in small batches; a task gives its memory back when it ends."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    small_batches(df.sparkSession)
+    return df.mapInArrow(task, schema)
+
+
+def in_groups(groups: GroupedData, run: Callable, schema: str) -> DataFrame:
+    """``groups.applyInPandas`` that gives its memory back after each group."""
+
+    def task(group):  # noqa: ANN001, ANN202
+        try:
+            return run(group)
+        finally:
+            give_back()
+
+    return groups.applyInPandas(task, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -33,6 +79,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     delete them, which keeps the disk that a query of several stages needs to that of one stage.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     gc.collect()

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from llm.tables import give_back
+
 BLOCK = 8192
 QUERIES = 4096
 
@@ -47,7 +49,14 @@ def meet(rows: DataFrame, queries: DataFrame, n_queries: int, schema: str, work:
     queries = queries.withColumn("part", F.pmod(F.hash("query_id"), F.lit(parts)))
     both = rows.groupBy("block", "part").cogroup(queries.groupBy("block", "part"))
     empty = pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
-    return both.applyInPandas(lambda x, q: work(x, q) if len(x) and len(q) else empty, schema)
+
+    def task(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return work(x, q) if len(x) and len(q) else empty
+        finally:
+            give_back()
+
+    return both.applyInPandas(task, schema)
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
