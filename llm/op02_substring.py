@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.hashing import assigned, merged, mix, prefix, ranges, slices, windows, word_hashes
-from llm.recurrence import cut, keyed, recurring, with_spans
+from llm.recurrence import at_places, cut, keyed, recurring, with_spans
 from llm.tables import fresh, in_batches, in_groups, others, table, written
 
 WINDOW = 50
@@ -168,9 +168,9 @@ def locate(pieces: DataFrame, window: int, hot: int, shard: int) -> DataFrame:
 def more_places(again: DataFrame, distinct: DataFrame, kinds: DataFrame) -> DataFrame:
     """(fp, row, at, own, to): the other places (own, to) that the first document of a piece has it at, its first being (row, at)."""
     first = distinct.where("places > 1").join(kinds, "fp", "left_semi").select("fp", "ph", "first.row", F.col("first.start").alias("at"), "lo")
-    own = again.select("fp", "ph", "doc_id", F.col("row").alias("own"), F.col("start").alias("to"))
-    same = own.join(first, ["fp", "ph"]).where("doc_id = lo and (own <> row or to <> at)")
-    return same.select("fp", "row", "at", "own", "to").distinct()
+    first = first.withColumnRenamed("row", "first_row")
+    same = at_places(again, first).where("doc_id = lo and (row <> first_row or start <> at)")
+    return same.select("fp", F.col("first_row").alias("row"), "at", F.col("row").alias("own"), F.col("start").alias("to")).distinct()
 
 
 def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT, shard: int = SHARD) -> DataFrame:
@@ -178,7 +178,7 @@ def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = A
     documents = documents.where("doc_id is not null")
     found = written(anchors(documents, window, anchor), "anchors")
     again, distinct, kinds = recurring(found, F.col("lo") < F.col("hi"))
-    copies = again.join(distinct.where("lo < hi").select("fp", "ph", "lo"), ["fp", "ph"]).where("doc_id > lo")
+    copies = at_places(again, distinct.where("lo < hi").select("fp", "ph", "lo")).where("doc_id > lo")
     whole = copies.select("doc_id", "row", "start", (F.col("start") + F.col("n") + window - 1).cast("int").alias("stop"))
     wanted = distinct.select("fp", "first.*").join(kinds, "fp").select("fp", "kinds", "doc_id", "row", "start", "n")
 

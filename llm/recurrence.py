@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from llm.tables import drop, fresh, in_batches, written
 
+#: From how many places on an anchor's places are dealt by salt, and how many salts there are.
+CROWD, SALTS = 1000, 64
 SPAN = "doc_id bigint, row bigint, start int, stop int"
 PIECE = "fp bigint, kinds bigint, doc_id bigint, row bigint, start int, n int, words binary"
 
@@ -30,11 +32,11 @@ def recurring(found: DataFrame, recurs: Column) -> tuple[DataFrame, DataFrame, D
 
     ``recurs`` is a condition on an anchor's n (places), lo and hi (least and greatest doc_id).
     Distinct pieces have fp, ph, first (the first place), lo, hi and places; the anchors have fp and
-    kinds, how many distinct pieces there are, which is 2 at least.
+    kinds, how many distinct pieces there are, which is 2 at least. ``crowd`` is how many places an anchor has.
     """
     by = found.groupBy("fp").agg(F.count("*").alias("places"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where(recurs)
     # written apart, so that the joins are plain ones, whose hot keys Spark splits
-    by = written(by.select("fp"), "anchors-again")
+    by = written(by.select("fp", F.col("places").alias("crowd")), "anchors-again")
     again = written(found.join(by, "fp"), "recurring")
     drop(found)
     drop(by)
@@ -46,6 +48,20 @@ def recurring(found: DataFrame, recurs: Column) -> tuple[DataFrame, DataFrame, D
     return again, pieces, kinds
 
 
+def at_places(again: DataFrame, pieces: DataFrame) -> DataFrame:
+    """The rows of ``again`` whose piece is one of ``pieces`` (fp, ph, and what else they are to get).
+
+    Rows of an anchor with over ``CROWD`` places are gathered in ``SALTS`` lists a piece first, so that no
+    task joins all places of one piece; the lists are dealt out again before they are taken apart.
+    """
+    few = again.where(F.col("crowd") <= CROWD).join(pieces, ["fp", "ph"])
+    place = ["doc_id", "row", "start", "n"]
+    salt = F.pmod(F.xxhash64("row", "start"), F.lit(SALTS)).alias("salt")
+    lists = again.where(F.col("crowd") > CROWD).groupBy("fp", "ph", "crowd", salt).agg(F.collect_list(F.struct(*place)).alias("places"))
+    many = lists.join(pieces, ["fp", "ph"]).repartition("fp", "ph", "salt").withColumn("place", F.explode("places"))
+    return few.unionByName(many.select(*["place." + c if c in place else c for c in few.columns]))
+
+
 def cut(documents: DataFrame, wanted: DataFrame, take: Callable[[bytes], Callable[[int, int], bytes]]) -> DataFrame:
     """The content of the wanted pieces (fp, kinds, doc_id, row, start, n): ``take`` of a text gives it by start and n."""
     lists = wanted.groupBy("row").agg(F.collect_list(F.struct("fp", "kinds", "start", "n")).alias("pieces"))

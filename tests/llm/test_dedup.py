@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from llm import op01_suffix_array, op02_substring, op07_jaccard_join
+from llm import op01_suffix_array, op02_substring, op07_jaccard_join, recurrence
 from llm.suffix_array import permuted_prefixes, suffix_array
 
 SCHEMA = "doc_id long, text string, kept string, spans_ int"
@@ -37,8 +37,9 @@ def documents(spark, rows):
     return spark.createDataFrame([(*r, "other", 1) for r in rows], SCHEMA)
 
 
-@pytest.mark.parametrize("hot,shard", [(1000, 6000), (3, 5), (10, 50)])
-def test_repeated_bytes_go(documents, rows, hot, shard):
+@pytest.mark.parametrize("hot,shard,crowd", [(1000, 6000, 1000), (3, 5, 2), (10, 50, 10)])
+def test_repeated_bytes_go(documents, rows, hot, shard, crowd, monkeypatch):
+    monkeypatch.setattr(recurrence, "CROWD", crowd)
     texts = [(i, (t or "").encode()) for i, t in rows]
     times = Counter(w[s : s + 200] for _, w in texts for s in range(len(w) - 199))
     expected = []
@@ -54,8 +55,9 @@ def test_repeated_bytes_go(documents, rows, hot, shard):
     assert {r.spans_ for r in found} == {1}
 
 
-@pytest.mark.parametrize("hot,shard", [(256, 2000), (2, 5), (5, 50)])
-def test_passages_of_smaller_documents_go(documents, rows, hot, shard):
+@pytest.mark.parametrize("hot,shard,crowd", [(256, 2000, 1000), (2, 5, 2), (5, 50, 10)])
+def test_passages_of_smaller_documents_go(documents, rows, hot, shard, crowd, monkeypatch):
+    monkeypatch.setattr(recurrence, "CROWD", crowd)
     first = {}
     texts = [(i, (t or "").encode().split()) for i, t in rows]
     for i, x in texts:
@@ -73,8 +75,9 @@ def test_passages_of_smaller_documents_go(documents, rows, hot, shard):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in found) == sorted(expected)
 
 
-@pytest.mark.parametrize("hot,shard", [(256, 2000), (2, 5)])
-def test_passages_go_from_every_place_of_a_document(spark, hot, shard):
+@pytest.mark.parametrize("hot,shard,crowd", [(256, 2000, 1000), (2, 5, 1)])
+def test_passages_go_from_every_place_of_a_document(spark, hot, shard, crowd, monkeypatch):
+    monkeypatch.setattr(recurrence, "CROWD", crowd)
     rng = random.Random(5)
     passage, other, far = words(rng, 70), words(rng, 60), [words(rng, 60) for _ in range(8)]
     own, by = f"{words(rng, 60)} {passage} {words(rng, 60)}", f"{words(rng, 60)} {other} {words(rng, 60)}"
@@ -144,7 +147,7 @@ def test_jaccard_components(spark, block):
     for a, (doc_id, _) in enumerate(rows):
         if doc_id is not None:
             least[root(a)] = min(least.get(root(a), 1 << 40), doc_id)
-    found = op07_jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()
+    found = op07_jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), block=block, open_block=block).collect()
     expected = [(str(doc_id), len(sets[a]), least.get(root(a))) for a, (doc_id, _) in enumerate(rows)]
     assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in found) == sorted(expected)
 
