@@ -15,14 +15,15 @@ agree; queries get a zero there.
 clusters to find, 0.9 recall takes about 0.35 to 0.45 of the vectors, so the default is 0.6;
 clustered vectors need far less.
 
-Defined cases: null, zero or non-finite vectors and those of an uncommon dimension take no part;
-ties go to the smaller vec_id; repeated rows with one vec_id are candidates once each, except for a
+Defined cases: null, zero or non-finite vectors take no part; vectors of another dimension than a
+query's are no candidates of it; of repeated query ids the least vector is the query; ties go to the smaller vec_id; repeated rows with one vec_id are candidates once each, except for a
 query of that id; a cell with many equal vectors is split over blocks; an empty table has no rows.
 """
 
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.tables import in_batches, table
-from llm.vectors import BLOCK, best, divisible, matrix, meet, sampled, top, usable
+from llm.vectors import BLOCK, asked, best, by_dimension, divisible, matrix, meet, sampled, top, usable
 
 CENTROIDS = 32
 SAMPLE = 8192
 VISIT = 0.6
+RESULT = "query_id bigint, rank int, vec_id bigint, score double"
 
 
 def _dense(array: pa.ListArray) -> np.ndarray:
@@ -121,8 +123,14 @@ def fit(vectors: DataFrame, count: int, centroids: int = CENTROIDS, sample: int
 
 def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, visit: float = VISIT, centroids: int = CENTROIDS, sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query, itself left out."""
-    vectors, queries = usable(vectors, zero=False), usable(queries, zero=False)
+    vectors, queries = usable(vectors, zero=False), asked(usable(queries, zero=False))
+    parts = by_dimension(vectors, queries, lambda x, q: _search(x, q, k, visit, centroids, sample))
+    return reduce(DataFrame.unionByName, parts) if parts else vectors.sparkSession.createDataFrame([], RESULT)
+
+
+def _search(vectors: DataFrame, queries: DataFrame, k: int, visit: float, centroids: int, sample: int) -> DataFrame:
     schema = "query_id bigint, vec_id bigint, score double"
+    stored = "<f4" if "float" in vectors.schema["embedding"].dataType.simpleString() else "<f8"
     count = vectors.count()
     n_queries = queries.count()
     if not count or not n_queries:
@@ -132,7 +140,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, visit: float
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _dense(batch.column(1))
-            packed = pa.array([r.tobytes() for r in x.astype("<f4")], pa.binary())
+            packed = pa.array([r.tobytes() for r in x.astype(stored)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(index.cells(x), pa.int64()), packed], names=["vec_id", "cell", "vector"])
 
     entries = in_batches(vectors, placed, "vec_id bigint, cell bigint, vector binary")
@@ -150,7 +158,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, visit: float
                 for cell in index.visited(near[i], far[i], enough):
                     for block in range(index.block[cell], index.block[cell] + index.blocks[cell]):
                         by_block.setdefault(block, []).append(cell)
-                vector = q[i].astype("<f4").tobytes()
+                vector = q[i].astype(stored).tobytes()
                 out += [(query_id, block, vector, np.array(cells, dtype="<i8").tobytes()) for block, cells in by_block.items()]
             types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             for first in range(0, len(out), 4096):
@@ -169,7 +177,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, visit: float
         ids, cells = x.vec_id.to_numpy(), x.cell.to_numpy()
         have, first = np.unique(cells, return_index=True)
         stop = np.append(first[1:], len(cells))
-        data = matrix(x.vector, "<f4").astype(np.float64)
+        data = matrix(x.vector, stored).astype(np.float64)
         out = []
         for own, vector, packed in zip(q.query_id, q.vector, q.cells, strict=True):
             at = np.searchsorted(have, wanted := np.frombuffer(packed, dtype="<i8"))
@@ -177,7 +185,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, visit: float
             if not len(at):
                 continue
             rows = np.concatenate([np.arange(first[i], stop[i]) for i in at])
-            one = np.frombuffer(vector, dtype="<f4").astype(np.float64)
+            one = np.frombuffer(vector, dtype=stored).astype(np.float64)
             near = rows[top(data[rows] @ one, ids[rows], own, k, 1e-9 * (1 + np.abs(one).sum()))]
             exact = (data[near] * one).sum(axis=1)
             keep = np.lexsort((ids[near], -exact))[:k]
@@ -185,8 +193,8 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 20, visit: float
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     rows = in_batches(entries, dealt, "vec_id bigint, cell bigint, vector binary, block bigint")
-    asked = in_batches(queries, routed, "query_id bigint, block bigint, vector binary, cells binary")
-    return best(meet(rows, asked, n_queries, schema, rerank), k)
+    routes = in_batches(queries, routed, "query_id bigint, block bigint, vector binary, cells binary")
+    return best(meet(rows, routes, n_queries, schema, rerank), k)
 
 
 def op4_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,9 @@ result must reach, and rises inside a bucket.
 Components are floor(1024 * x) for x in double precision; lengths and products are exact in double
 precision while the sums stay under 2**53, and beyond that are taken in 64-bit integers.
 
-Defined cases: null vectors, vectors with null or non-finite components and those of an uncommon
-dimension take no part; zero vectors do; ties go to the smaller vec_id; repeated rows with one
+Defined cases: null vectors and vectors with null or non-finite components take no part; zero vectors
+do; vectors of another dimension than a query's are no candidates of it; of repeated query ids the
+least vector is the query; ties go to the smaller vec_id; repeated rows with one
 vec_id are candidates once each, except for a query of that id; buckets with many equal lengths
 are split by a salt; an empty table has no rows.
 """
@@ -22,6 +23,7 @@ are split by a salt; an empty table has no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,10 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.tables import in_batches, table
-from llm.vectors import BLOCK, best, divisible, matrix, meet, sampled, top, usable
+from llm.vectors import BLOCK, asked, best, by_dimension, divisible, matrix, meet, sampled, top, usable
 
 SCALE = 1024
 SAMPLE = 2048
+RESULT = "query_id bigint, rank int, vec_id bigint, score bigint"
 COORDINATES = 4
 #: From this local cosine on, intervals of coordinates prune more than lengths do.
 STEEP = 0.8
@@ -86,8 +89,13 @@ def candidates(data: np.ndarray, norms: np.ndarray, one: np.ndarray, theta: floa
 
 def search(vectors: DataFrame, queries: DataFrame, *, k: int = 10, sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score long): the k highest inner products of each query, itself left out."""
+    vectors, queries = usable(vectors, zero=True), asked(usable(queries, zero=True))
+    parts = by_dimension(vectors, queries, lambda x, q: _search(integers(x), integers(q), k, sample))
+    return reduce(DataFrame.unionByName, parts) if parts else vectors.sparkSession.createDataFrame([], RESULT)
+
+
+def _search(vectors: DataFrame, queries: DataFrame, k: int, sample: int) -> DataFrame:
     schema = "query_id bigint, vec_id bigint, score bigint"
-    vectors, queries = integers(usable(vectors, zero=True)), integers(usable(queries, zero=True))
     count, n_queries = vectors.count(), queries.count()
     if not count or not n_queries:
         return best(vectors.sparkSession.createDataFrame([], schema), k)
@@ -137,8 +145,8 @@ def search(vectors: DataFrame, queries: DataFrame, *, k: int = 10, sample: int =
             out.append(pd.DataFrame({"query_id": own, "vec_id": ids[rows][keep], "score": scores[keep]}))
         return pd.concat(out)
 
-    asked = in_batches(queries, routed, "query_id bigint, block bigint, vector binary, theta double")
-    return best(meet(rows.select("vec_id", "norm", "vector", "block"), asked, n_queries, schema, verify), k)
+    routes = in_batches(queries, routed, "query_id bigint, block bigint, vector binary, theta double")
+    return best(meet(rows.select("vec_id", "norm", "vector", "block"), routes, n_queries, schema, verify), k)
 
 
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

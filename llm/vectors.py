@@ -21,15 +21,24 @@ QUERIES = 4096
 
 
 def usable(vectors: DataFrame, *, zero: bool) -> DataFrame:
-    """(vec_id, embedding) without null vectors, ids, null or non-finite components, and vectors
-    whose dimension is not the most common one; zero vectors stay only if ``zero``."""
+    """(vec_id, embedding) without null vectors, ids, null or non-finite components; zero vectors stay only if ``zero``."""
     rows = vectors.select(F.col("vec_id").cast("bigint"), "embedding").where("vec_id is not null and embedding is not null and size(embedding) > 0")
     good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.coalesce(good, F.lit(False)))
     if not zero:
         rows = rows.where(F.exists("embedding", lambda x: x != 0))
-    most = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("embedding") == (most.d if most else 0))
+    return rows
+
+
+def asked(queries: DataFrame) -> DataFrame:
+    """Each query id once: of rows that repeat an id, the least vector is the query."""
+    return queries.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+
+
+def by_dimension(vectors: DataFrame, queries: DataFrame, work: Callable[[DataFrame, DataFrame], DataFrame]) -> list[DataFrame]:
+    """``work`` for the vectors and queries of each dimension that queries have: others have no product."""
+    sizes = sorted(r.d for r in queries.select(F.size("embedding").alias("d")).distinct().collect())
+    return [work(vectors.where(F.size("embedding") == d), queries.where(F.size("embedding") == d)) for d in sizes]
 
 
 def sampled(rows: DataFrame, limit: int, count: int) -> DataFrame:

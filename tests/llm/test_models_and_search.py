@@ -195,3 +195,23 @@ def test_pipeline_stages(spark):
         docs = kept
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
     assert packed.select("doc_id").distinct().count() == docs.count()
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_searches_take_repeated_queries_doubles_and_every_dimension(spark, kind):
+    draw = np.random.default_rng(4)
+    rows = [(i, draw.normal(size=4 if i % 3 else 6).astype("f4" if kind == "float" else "f8").tolist()) for i in range(90)]
+    table = spark.createDataFrame(rows + rows[:30] + rows[:1], f"vec_id long, embedding array<{kind}>")
+    queries = table.where("vec_id % 10 = 0")
+    all_rows = rows + rows[:30] + rows[:1]
+    near = op04_multi_index.search(table, queries, k=5, visit=1.0).toPandas()
+    exact = op08_exact_top_k.search(table, queries, k=5).toPandas()
+    for q in range(0, 90, 10):
+        own = np.array(rows[q][1])
+        plain = sorted((-float(own @ np.array(v)), i) for i, v in all_rows if i != q and len(v) == len(own))[:5]
+        found = near[near.query_id == q].sort_values("rank")
+        assert found.vec_id.tolist() == [i for _, i in plain] and np.abs(found.score - [-s for s, _ in plain]).max() < 1e-12
+        whole = np.floor(1024 * own).astype(int)
+        plain = sorted((-int(whole @ np.floor(1024 * np.array(v)).astype(int)), i) for i, v in all_rows if i != q and len(v) == len(own))[:5]
+        found = exact[exact.query_id == q].sort_values("rank")
+        assert list(zip(-found.score, found.vec_id, strict=True)) == plain
