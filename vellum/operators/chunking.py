@@ -6,22 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def heading_context(nodes: DataFrame, most: int = 6) -> DataFrame:
+def heading_context(nodes: DataFrame) -> DataFrame:
     """(doc_id, node_id, headings): of the headings before a node, the last of each level that no shallower one has ended.
 
-    nodes (doc_id, node_id, label, level, text) are in the order of node_id.
+    nodes (doc_id, node_id, label, level, text) are in the order of node_id. For every level that a document
+    has, the last heading of that level or a shallower one is in force if it is of that level itself.
     """
-    w = Window.partitionBy("doc_id").orderBy("node_id").rowsBetween(Window.unboundedPreceding, -1)
     head = F.col("label") == "section_header"
-    last = {k: F.last(F.when(head & (F.col("level") == k), F.struct("node_id", "text")), ignorenulls=True).over(w) for k in range(1, most + 1)}
-    at = nodes.select("doc_id", "node_id", "label", "level", "text", *[c.alias(f"h{k}") for k, c in last.items()])
-    valid = []
-    for k in range(1, most + 1):
-        ended = F.lit(False)
-        for j in range(1, k):
-            ended = ended | (F.coalesce(F.col(f"h{j}.node_id"), F.lit(-1)) > F.col(f"h{k}.node_id"))
-        valid.append(F.when(F.col(f"h{k}").isNotNull() & ~ended, F.col(f"h{k}.text")))
-    return at.select("doc_id", "node_id", F.array_compact(F.array(*valid)).alias("headings"))
+    levels = nodes.where(head).select("doc_id", F.col("level").alias("at")).distinct()
+    spread = nodes.select("doc_id", "node_id", "label", "level", "text").join(levels, "doc_id")
+    w = Window.partitionBy("doc_id", "at").orderBy("node_id").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(head & (F.col("level") <= F.col("at")), F.struct("level", "text")), ignorenulls=True).over(w)
+    found = spread.withColumn("last", last).where(F.col("last.level") == F.col("at"))
+    found = found.groupBy("doc_id", "node_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", F.col("last.text").alias("text")))), lambda h: h.text).alias("headings"))
+    return nodes.select("doc_id", "node_id").join(found, ["doc_id", "node_id"], "left").select("doc_id", "node_id", F.coalesce("headings", F.array().cast("array<string>")).alias("headings"))
 
 
 def contextualized(headings: Column, text: Column) -> Column:

@@ -7,6 +7,10 @@ many boxes use ``assign_cells(bins=...)``, which adds grid cells to the join key
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,24 +102,40 @@ def overlap_edges(clusters: DataFrame, least: float = OVERLAP) -> DataFrame:
     return a.join(b, "page_id").where((F.col("a") < F.col("b")) & x.overlaps(y) & hit).select("page_id", "a", "b")
 
 
-def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(page_id, node, component): the smallest cluster that each one reaches.
 
-    Labels spread with pointer jumping until nothing changes. Each round starts from a checkpoint in
-    the folder of ``spark.checkpoint.dir`` where that is set.
+    Pages are dealt to tasks by one shuffle; a batch of whole pages is settled at once, all its labels taking
+    the least of their neighbours' and then that of their label, until nothing changes.
     """
-    both = edges.select("page_id", "a", "b").union(edges.select("page_id", F.col("b").alias("a"), F.col("a").alias("b"))).persist()
-    labels = both.groupBy("page_id", F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component"))
-    for _ in range(rounds):
-        labels = settled(labels)
-        near = both.join(labels.withColumnRenamed("node", "a"), ["page_id", "a"]).groupBy("page_id", F.col("b").alias("node")).agg(F.min("component").alias("near"))
-        step = labels.join(near, ["page_id", "node"]).select("page_id", "node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        jump = labels.select("page_id", F.col("node").alias("component"), F.col("component").alias("further"))
-        step = settled(step.join(jump, ["page_id", "component"]).select("page_id", "node", "old", F.least("component", "further").alias("component")))
-        labels = step.select("page_id", "node", "component")
-        if step.where("old <> component").isEmpty():
-            break
-    return labels
+    rows = edges.select("page_id", F.col("a").cast("bigint"), F.col("b").cast("bigint")).repartition("page_id").sortWithinPartitions("page_id")
+
+    def settle(page: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        ends = np.stack([np.concatenate([page, page]), np.concatenate([a, b])], axis=1)
+        nodes, at = np.unique(ends, axis=0, return_inverse=True)
+        x, y = at.reshape(2, -1)
+        label = np.arange(len(nodes))
+        while True:
+            low, new = np.minimum(label[x], label[y]), label.copy()
+            for place in (x, y, label[x], label[y]):
+                np.minimum.at(new, place, low)
+            new = new[new]
+            if (new == label).all():
+                return pd.DataFrame({"page_id": nodes[:, 0], "node": nodes[:, 1], "component": nodes[label, 1]})
+            label = new
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = np.empty((0, 3), dtype=np.int64)
+        for batch in batches:
+            have = np.concatenate([rest, batch.to_numpy(dtype=np.int64)])
+            whole = have[:, 0] != have[-1, 0]
+            rest = have[~whole]
+            if whole.any():
+                yield settle(*have[whole].T)
+        if len(rest):
+            yield settle(*rest.T)
+
+    return rows.mapInPandas(run, "page_id bigint, node bigint, component bigint")
 
 
 def settled(df: DataFrame) -> DataFrame:

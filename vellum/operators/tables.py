@@ -142,11 +142,12 @@ def merged_text(final: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def compacted(cells: DataFrame) -> DataFrame:
-    """Rows and columns numbered without gaps, and the table's dimensions."""
+    """Rows and columns numbered without gaps, and the table's dimensions: the greatest ends (``row_span`` and ``col_span``, 1 if absent)."""
     rank = lambda c: (F.dense_rank().over(Window.partitionBy("table_id").orderBy(c)) - 1).cast("bigint")
-    out = cells.select("table_id", "cell_id", rank("row_id").alias("row"), rank("column_id").alias("col"))
+    span = lambda c: F.col(c) if c in cells.columns else F.lit(1)
+    out = cells.select("*", rank("row_id").alias("row"), rank("column_id").alias("col")).select("table_id", "cell_id", "row", "col", *[c for c in ("row_span", "col_span") if c in cells.columns])
     w = Window.partitionBy("table_id")
-    return out.withColumn("num_rows", F.max("row").over(w) + 1).withColumn("num_cols", F.max("col").over(w) + 1)
+    return out.withColumn("num_rows", F.max(F.col("row") + span("row_span")).over(w)).withColumn("num_cols", F.max(F.col("col") + span("col_span")).over(w)).drop("row_span", "col_span")
 
 
 def grid(cells: DataFrame) -> DataFrame:
@@ -156,8 +157,7 @@ def grid(cells: DataFrame) -> DataFrame:
         "table_id", "cell_id", "start_row", "start_col",
         F.explode(F.expr("sequence(start_row, start_row + row_span - 1)")).alias("row"), "col_span",
     ).select("table_id", "cell_id", "start_row", "start_col", "row", F.explode(F.expr("sequence(start_col, start_col + col_span - 1)")).alias("col"))
-    size = cells.groupBy("table_id").agg(F.max("start_row").alias("h"), F.max("start_col").alias("w"))
-    area = area.join(size, "table_id").where("row <= h and col <= w")
+    size = cells.groupBy("table_id").agg(F.max(F.expr("start_row + row_span - 1")).alias("h"), F.max(F.expr("start_col + col_span - 1")).alias("w"))
     top = area.groupBy("table_id", "row", "col").agg(F.max(F.struct("cell_id", "start_row", "start_col")).alias("top"))
     slots = size.select("table_id", F.explode(F.expr("sequence(0L, h)")).alias("row"), "w").select("table_id", "row", F.explode(F.expr("sequence(0L, w)")).alias("col"))
     return slots.join(top, ["table_id", "row", "col"], "left").select("table_id", "row", "col", "top.cell_id", "top.start_row", "top.start_col")

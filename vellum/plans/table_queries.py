@@ -82,7 +82,7 @@ def table_token_merge_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def table_index_compaction(spark: SparkSession, d: str) -> DataFrame:
-    return tables.compacted(_cells(spark, d).where("row_id % 3 <> 1 and column_id <> 1"))
+    return tables.compacted(_spans(spark, d).select("table_id", "cell_id", (F.col("start_row") * 3).alias("row_id"), (F.col("start_col") * 2 + 1).alias("column_id"), "row_span", "col_span"))
 
 
 def table_grid_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -117,7 +117,7 @@ _FINAL = "final AS (SELECT table_id, token_id, cell_id FROM (SELECT *, row_numbe
 _TEXTS = "texts AS (SELECT f.table_id, f.cell_id, string_agg(t.text, ' ' ORDER BY t.token_id) AS text FROM final f JOIN d_tokens t ON t.table_id = f.table_id AND t.token_id = f.token_id GROUP BY 1, 2)"
 _GRID = """spans AS (SELECT table_id, cell_id, row_id AS r0, row_id + CASE WHEN column_id = 2 AND row_id % 3 = 0 THEN 1 ELSE 0 END AS r1, column_id AS c0,
  column_id + CASE WHEN column_id = 0 AND row_id % 4 = 1 THEN 1 ELSE 0 END AS c1 FROM d_table_cells),
- size AS (SELECT table_id, max(r0) AS h, max(c0) AS w FROM spans GROUP BY 1),
+ size AS (SELECT table_id, max(r1) AS h, max(c1) AS w FROM spans GROUP BY 1),
  slots AS (SELECT table_id, row, unnest(range(w + 1)) AS col FROM (SELECT table_id, w, unnest(range(h + 1)) AS row FROM size) s),
  grid AS (SELECT table_id, row, col, cell_id, r0 AS start_row, c0 AS start_col FROM (SELECT s.table_id, s.row, s.col, p.cell_id, p.r0, p.c0,
  row_number() OVER (PARTITION BY s.table_id, s.row, s.col ORDER BY p.cell_id DESC NULLS LAST) AS n FROM slots s LEFT JOIN spans p ON p.table_id = s.table_id AND s.row BETWEEN p.r0 AND p.r1 AND s.col BETWEEN p.c0 AND p.c1) g WHERE n = 1)"""
@@ -142,7 +142,7 @@ SQL = {
  SELECT DISTINCT table_id, CASE WHEN score >= ns THEN nxt ELSE column_id END AS column_id FROM pair WHERE nxt IS NOT NULL AND len(list_intersect(toks, nt)) / len(toks) > 0.3""",
     "table_final_assignment": f"WITH {_MATCH}, {_FINAL} SELECT * FROM final",
     "table_align_to_tokens": f"""WITH {_MATCH}, {_FINAL} SELECT f.table_id, f.cell_id, min(t.x1) AS x1, min(t.y1) AS y1, max(t.x2) AS x2, max(t.y2) AS y2 FROM final f
- JOIN d_tokens t ON t.table_id = f.table_id AND t.token_id = f.token_id WHERE (SELECT count(*) FROM d_tokens n WHERE n.table_id = f.table_id) <= 300 GROUP BY 1, 2""",
+ JOIN d_tokens t ON t.table_id = f.table_id AND t.token_id = f.token_id GROUP BY 1, 2""",
     "table_orphan_bands": f"""WITH {_MATCH}, lost AS (SELECT table_id, token_id, (x1 + x2) / 2 AS x, (y1 + y2) / 2 AS y FROM d_tokens t WHERE NOT EXISTS (SELECT 1 FROM match m WHERE m.table_id = t.table_id AND m.token_id = t.token_id)),
  rb AS (SELECT table_id, row_id, min(y1) AS lo, max(y2) AS hi FROM d_table_cells GROUP BY 1, 2), cb AS (SELECT table_id, column_id, min(x1) AS lo, max(x2) AS hi FROM d_table_cells GROUP BY 1, 2),
  rr AS (SELECT l.table_id, token_id, row_id, row_number() OVER (PARTITION BY l.table_id, token_id ORDER BY round_even(abs(y - (lo + hi) / 2), 3), row_id) AS n FROM lost l JOIN rb ON rb.table_id = l.table_id AND y BETWEEN lo AND hi),
@@ -155,8 +155,8 @@ SQL = {
  SELECT table_id, token_id, CAST(sum(turn) OVER (PARTITION BY table_id ORDER BY y, token_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS group_id,
  regexp_matches(text, '^(?:[$€£¥]|[-–—]?\\(?\\d[\\d,]*(?:\\.\\d+)?\\)?%?)$') AS is_value FROM turns""",
     "table_token_merge_text": f"WITH {_MATCH}, {_FINAL}, {_TEXTS} SELECT * FROM texts",
-    "table_index_compaction": """WITH r AS (SELECT table_id, cell_id, CAST(dense_rank() OVER (PARTITION BY table_id ORDER BY row_id) - 1 AS BIGINT) AS row, CAST(dense_rank() OVER (PARTITION BY table_id ORDER BY column_id) - 1 AS BIGINT) AS col
- FROM d_table_cells WHERE row_id % 3 <> 1 AND column_id <> 1) SELECT *, max(row) OVER (PARTITION BY table_id) + 1 AS num_rows, max(col) OVER (PARTITION BY table_id) + 1 AS num_cols FROM r""",
+    "table_index_compaction": f"""WITH {_GRID}, r AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY table_id ORDER BY r0) - 1 AS BIGINT) AS row, CAST(dense_rank() OVER (PARTITION BY table_id ORDER BY c0) - 1 AS BIGINT) AS col FROM spans)
+ SELECT table_id, cell_id, row, col, max(row + r1 - r0 + 1) OVER (PARTITION BY table_id) AS num_rows, max(col + c1 - c0 + 1) OVER (PARTITION BY table_id) AS num_cols FROM r""",
     "table_grid_fill": f"WITH {_GRID} SELECT * FROM grid",
     "table_row_col_hulls": """SELECT table_id, row_id AS ix, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2, 0 AS axis FROM d_table_cells GROUP BY 1, 2
  UNION ALL SELECT table_id, column_id, min(x1), min(y1), max(x2), max(y2), 1 FROM d_table_cells GROUP BY 1, 2""",
