@@ -100,6 +100,44 @@ class Box:
         # tolerant from the bottom, strict from the top: the two origins differ on purpose
         return self.b + slack > o.t if self.bottom_left else self.b + slack < o.t
 
+    def y_iou(self, o: Box) -> Column:
+        """The common share of two vertical extents; 0 where they are apart."""
+        return F.when(self.overlaps_y(o), self.y_overlap(o) / self.y_union(o)).otherwise(F.lit(0.0))
+
+    def beside(self, a: Box, b: Box) -> Column:
+        """Whether the box reaches from ``a``'s side to ``b``'s without lying in their common vertical extent."""
+        (low, high), (a0, a1), (b0, b1) = self._low_high(), a._low_high(), b._low_high()
+        level = (low < F.greatest(a1, b1)) & (F.least(a0, b0) < high)
+        return ~level & (self.l < a.r) & (b.l < self.r)
+
+    @staticmethod
+    def centred(x: Column, y: Column, width: Column, height: Column) -> Box:
+        return Box(x - width / 2, y - height / 2, x + width / 2, y + height / 2)
+
+    def centre(self, least: float = 1e-6) -> tuple[Column, Column, Column, Column]:
+        """(x, y, width, height), no side under ``least``."""
+        w, h = F.greatest(self.r - self.l, F.lit(least)), F.greatest(self.b - self.t, F.lit(least))
+        return self.l + w / 2, self.t + h / 2, w, h
+
+    def joined(self, o: Box) -> Box:
+        return Box(F.least(self.l, o.l), F.least(self.t, o.t), F.greatest(self.r, o.r), F.greatest(self.b, o.b), self.bottom_left)
+
+    def within(self, width: Column | float, height: Column | float) -> Box:
+        inside = lambda c, most: F.greatest(F.lit(0.0), F.least(c, most if isinstance(most, Column) else F.lit(most)))
+        return Box(inside(self.l, width), inside(self.t, height), inside(self.r, width), inside(self.b, height), self.bottom_left)
+
+    def turned(self, angle: Column, width: Column | float, height: Column | float) -> Quad:
+        """The corners of a top-left box of an image (width, height) that was turned by quarters, from the baseline's start."""
+        w, h = self.r - self.l, self.b - self.t
+        quarter = F.pmod(angle, F.lit(360))
+        x = F.when(quarter == 90, self.t + h).when(quarter == 180, width - self.l).when(quarter == 270, height - (self.t + h)).otherwise(self.l)
+        y = F.when(quarter == 90, width - self.l).when(quarter == 180, height - (self.t + h)).when(quarter == 270, self.l).otherwise(self.b)
+        along_x = F.when(quarter == 0, w).when(quarter == 180, -w).otherwise(F.lit(0.0))
+        along_y = F.when(quarter == 90, -w).when(quarter == 270, w).otherwise(F.lit(0.0))
+        up_x = F.when(quarter == 90, -h).when(quarter == 270, h).otherwise(F.lit(0.0))
+        up_y = F.when(quarter == 0, -h).when(quarter == 180, h).otherwise(F.lit(0.0))
+        return Quad((x, x + along_x, x + along_x + up_x, x + up_x), (y, y + along_y, y + along_y + up_y, y + up_y))
+
     def columns(self, suffix: str = "") -> list[Column]:
         return [c.alias(f"{n}{suffix}") for n, c in zip("ltrb", (self.l, self.t, self.r, self.b), strict=True)]
 
@@ -144,6 +182,10 @@ class Quad:
         angle = F.pmod(angle + F.when(dx < 0, F.pi()).otherwise(0.0), 2 * F.pi())
         return F.bround(angle / F.pi() * 180, 0).cast("int")
 
+    def placed(self, scale: float, left: Column | float, top: Column | float) -> Quad:
+        """The quad at ``1 / scale`` of its size, moved by an offset."""
+        return Quad(tuple(x / scale + left for x in self.xs), tuple(y / scale + top for y in self.ys))
+
     @property
     def box(self) -> Box:
         return Box(F.least(*self.xs), F.greatest(*self.ys), F.greatest(*self.xs), F.least(*self.ys), True)

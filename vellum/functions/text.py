@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: Characters that clean-up of web text replaces.
 WEB = {
@@ -83,3 +86,49 @@ def direction(text: Column) -> Column:
     n = F.length(text)
     rtl = n - F.length(F.regexp_replace(text, RTL, ""))
     return F.when((n > 0) & (F.substring(text, 1, 1).rlike(RTL) | (rtl > n / 2)), "right_to_left").otherwise("left_to_right")
+
+
+def plain_controls(text: Column) -> Column:
+    """Breaking hyphens (\\x02) as hyphens, trimmed."""
+    return F.trim(F.replace(text, F.lit("\x02"), F.lit("-")))
+
+
+def single_spaced(text: Column) -> Column:
+    return F.regexp_replace(text, r"\s+", " ")
+
+
+def code_language(text: Column) -> tuple[Column, Column]:
+    """(language, rest) of a text that begins with ``<_language_>``; (null, the text) otherwise."""
+    pattern = r"(?s)^<_([^_>]+)_>\s(.*)"
+    marked = text.rlike(pattern)
+    return F.when(marked, F.regexp_extract(text, pattern, 1)), F.when(marked, F.regexp_extract(text, pattern, 2)).otherwise(text)
+
+
+def heading_style(style: Column) -> tuple[Column, Column]:
+    """(label, level) of a style name of a word and a number in either order; other names are labels without a level."""
+    after, before = r"^(\D+)(\d+)$", r"^(\d+)(\D+)"
+    word = F.when(style.rlike(after), F.regexp_extract(style, after, 1)).when(style.rlike(before), F.regexp_extract(style, before, 2))
+    number = F.when(style.rlike(after), F.regexp_extract(style, after, 2)).when(style.rlike(before), F.regexp_extract(style, before, 1)).cast("int")
+    heading = F.lower(F.trim(word)) == "heading"
+    return F.when(word.isNull(), style).when(heading, "Heading").otherwise(""), F.when(heading, number).when(word.isNotNull(), 0)
+
+
+def label_name(text: Column) -> Column:
+    return F.translate(F.lower(text), " -", "__")
+
+
+def data_uri(uri: Column) -> tuple[Column, Column]:
+    """(media type, bytes) of a base64 data URI; nulls for other ones."""
+    is_data = uri.rlike(r"^data:[^;,]*;base64,")
+    return F.when(is_data, F.regexp_extract(uri, r"^data:([^;,]*);", 1)), F.when(is_data, F.try_to_binary(F.split_part(uri, F.lit(","), F.lit(2)), F.lit("base64")))
+
+
+def is_datetime(text: Column) -> Column:
+    """Whether a text that is not only digits reads as an ISO date and time."""
+    return F.coalesce(~text.rlike(r"^\d+$") & text.rlike(r"^\d{4}-\d{2}-\d{2}") & F.try_to_timestamp(text).isNotNull(), F.lit(False))
+
+
+@F.pandas_udf(DoubleType())
+def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    """The ratio of matching blocks of two texts, 0 to 1."""
+    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])

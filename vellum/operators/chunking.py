@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.operators.serialize import markdown_parts, together
+
 
 def heading_context(nodes: DataFrame) -> DataFrame:
     """(doc_id, node_id, headings): of the headings before a node, the last of each level that no shallower one has ended.
@@ -34,7 +36,7 @@ def tokens_of(text: Column) -> Column:
 def greedy_chunks(items: DataFrame, limit: int, *, key: str = "doc_id", count=tokens_of) -> DataFrame:  # noqa: ANN001
     """(key, chunk_id, text, n_tokens): lines of one heading packed in order into chunks of at most ``limit`` tokens.
 
-    items (key, pos, heading, text) are folded within each document: a line opens a new chunk if its
+    items (key, pos, heading, text) are folded within each run of one heading: a line opens a new chunk if its
     heading differs or it does not fit; a line over the limit is cut into pieces of ``limit`` tokens.
     """
     pieces = F.when(
@@ -45,22 +47,57 @@ def greedy_chunks(items: DataFrame, limit: int, *, key: str = "doc_id", count=to
         ),
     ).otherwise(F.array("text"))
     lines = items.select(key, "pos", F.coalesce("heading", F.lit("")).alias("heading"), F.posexplode(pieces).alias("part", "text"))
-    lines = lines.withColumn("n", count(F.col("text")))
-    ordered = lines.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "part", "heading", "text", F.col("n").cast("bigint").alias("n")))).alias("lines"))
-    start = F.struct(F.lit(-1).cast("bigint").alias("chunk"), F.lit(0).cast("bigint").alias("n"), F.lit("").alias("heading"), F.array().cast("array<bigint>").alias("ids"))
+    order = Window.partitionBy(key).orderBy("pos", "part")
+    turn = F.when(F.col("heading") == F.lag("heading").over(order), 0).otherwise(1)
+    lines = lines.withColumn("n", count(F.col("text")).cast("bigint")).withColumn("turn", turn)
+    lines = lines.withColumn("run", F.sum("turn").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ordered = lines.groupBy(key, "run", "heading").agg(F.array_sort(F.collect_list(F.struct("pos", "part", "text", "n"))).alias("lines"))
+    start = F.struct(F.lit(-1).cast("bigint").alias("chunk"), F.lit(0).cast("bigint").alias("n"), F.array().cast("array<bigint>").alias("ids"))
 
     def step(acc: Column, line: Column) -> Column:
-        fits = (acc.chunk >= 0) & (acc.heading == line.heading) & (acc.n + line.n <= limit)
+        fits = (acc.chunk >= 0) & (acc.n + line.n <= limit)
         chunk = F.when(fits, acc.chunk).otherwise(acc.chunk + 1)
-        return F.struct(chunk.alias("chunk"), F.when(fits, acc.n + line.n).otherwise(line.n).alias("n"), line.heading.alias("heading"), F.concat(acc.ids, F.array(chunk)).alias("ids"))
+        return F.struct(chunk.alias("chunk"), F.when(fits, acc.n + line.n).otherwise(line.n).alias("n"), F.concat(acc.ids, F.array(chunk)).alias("ids"))
 
-    placed = ordered.select(key, F.explode(F.arrays_zip("lines", F.aggregate("lines", start, step, lambda a: a.ids).alias("ids"))).alias("x"))
-    placed = placed.select(key, F.col("x.ids").alias("chunk_id"), "x.lines.*")
+    placed = ordered.select(key, "run", "heading", F.explode(F.arrays_zip("lines", F.aggregate("lines", start, step, lambda a: a.ids).alias("ids"))).alias("x"))
+    placed = placed.select(key, "run", "heading", F.col("x.ids").alias("own"), "x.lines.*")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "part", "text"))), lambda p: p.text), "\n")
-    return placed.groupBy(key, "chunk_id").agg(text.alias("text"), F.sum("n").alias("n_tokens"), F.first("heading").alias("heading"))
+    chunks = placed.groupBy(key, "run", "heading", "own").agg(text.alias("text"), F.sum("n").alias("n_tokens"))
+    number = F.row_number().over(Window.partitionBy(key).orderBy("run", "own")) - 1
+    return chunks.select(key, number.cast("bigint").alias("chunk_id"), "text", "n_tokens", "heading")
 
 
 def lines_of(documents: DataFrame) -> DataFrame:
     """(doc_id, pos, text) of the lines that are not blank; positions count all lines."""
     lines = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
     return lines.where(F.trim("text") != "").select("doc_id", F.col("pos").cast("bigint").alias("pos"), "text")
+
+
+def hierarchical(walk: DataFrame) -> DataFrame:
+    """(doc_id, chunk_id, headings, text, nodes): a chunk for each node with a text, one for a whole outermost list,
+    none for headings, which are the context of what follows.
+
+    walk is of ``tree.walked``; a title is a heading over all levels.
+    """
+    heading = F.col("label").isin("title", "section_header")
+    numbered = walk.select("doc_id", F.col("pos").alias("node_id"), F.when(heading, "section_header").otherwise("text").alias("label"), F.when(F.col("label") == "title", 0).otherwise(F.col("level")).alias("level"), "text")
+    context = heading_context(numbered).withColumnRenamed("node_id", "pos")
+    ids = walk.select("doc_id", "pos", "node_id", "label")
+    flow = markdown_parts(walk, escape=False).join(ids, ["doc_id", "pos"]).where(~heading)
+    first = F.coalesce("list_id", -1 - F.col("pos"))  # nodes outside of lists stand alone
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "part"))), lambda p: p.part), "\n")
+    nodes = F.transform(F.array_sort(F.collect_list(F.struct("pos", "node_id"))), lambda p: p.node_id)
+    chunks = flow.groupBy("doc_id", first.alias("of")).agg(F.min("pos").alias("pos"), text.alias("text"), nodes.alias("nodes"))
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")) - 1
+    return chunks.join(context, ["doc_id", "pos"]).select("doc_id", number.cast("bigint").alias("chunk_id"), "headings", "text", "nodes")
+
+
+def by_page(walk: DataFrame) -> DataFrame:
+    """(doc_id, page_no, text): one chunk for each page; a document without pages is one chunk."""
+    return together(markdown_parts(walk), "doc_id", "page_no")
+
+
+def hybrid(walk: DataFrame, limit: int, *, count=tokens_of) -> DataFrame:  # noqa: ANN001
+    """Hierarchical chunks cut where they exceed ``limit`` tokens, and neighbours of the same headings put together up to it."""
+    items = hierarchical(walk).select("doc_id", F.col("chunk_id").alias("pos"), F.array_join("headings", "\n").alias("heading"), "text")
+    return greedy_chunks(items, limit, count=count)

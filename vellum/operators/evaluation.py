@@ -64,3 +64,15 @@ def greedy_iou(expected: DataFrame, actual: DataFrame, least: float = 0.1) -> Da
 
 def grade(score: Column) -> Column:
     return F.when(score < 0.5, "poor").when(score < 0.8, "fair").when(score < 0.9, "good").when(score >= 0.9, "excellent").otherwise("unspecified")
+
+
+def best_of_runs(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, seconds): the fastest of repeated runs."""
+    return runs.groupBy(*keys).agg(F.min("seconds").alias("seconds"))
+
+
+def edge_colour(pixels: DataFrame, width: int, height: int) -> DataFrame:
+    """(image, colour): the commonest colour of the outer rows and columns, whose corners count twice; the least in a tie."""
+    side, level = F.col("x").isin(0, width - 1), F.col("y").isin(0, height - 1)
+    counts = pixels.where(side | level).groupBy("image", "colour").agg(F.sum(F.when(side & level, 2).otherwise(1)).alias("n"))
+    return counts.groupBy("image").agg(F.max(F.struct("n", (-F.col("colour")).alias("c"))).alias("best")).select("image", (-F.col("best.c")).alias("colour"))

@@ -209,3 +209,76 @@ def add_untouched(first: DataFrame, second: DataFrame) -> DataFrame:
     both = first.withColumn("from_ocr", F.lit(False)).unionByName(new.withColumn("from_ocr", F.lit(True)))
     index = F.row_number().over(Window.partitionBy("page_id").orderBy("from_ocr", "cell_ix")) - 1
     return both.withColumn("new_ix", index.cast("bigint"))
+
+
+def predicted(clusters: DataFrame, pages: DataFrame, least: float = 0.3, without: tuple[str, ...] = ()) -> DataFrame:
+    """Predictions of enough confidence and no excluded label, with boxes cut at the page."""
+    kept = clusters.where((F.col("confidence") >= least) & ~F.col("label").isin(*without)).join(pages.select("page_id", "width", "height"), "page_id")
+    return kept.withColumns(dict(zip("ltrb", _sides(Box.of().within(F.col("width"), F.col("height"))), strict=True))).select(*clusters.columns)
+
+
+def _sides(box: Box) -> tuple[Column, Column, Column, Column]:
+    return box.l, box.t, box.r, box.b
+
+
+def without_contained(clusters: DataFrame) -> DataFrame:
+    """Clusters but the regular ones that lie in a special one."""
+    inside = children_of_special(clusters).select("page_id", F.col("child_id").alias("cluster_id")).distinct()
+    return clusters.join(inside, ["page_id", "cluster_id"], "left_anti")
+
+
+def around_children(clusters: DataFrame) -> DataFrame:
+    """Forms and key-value regions get the box around the clusters that lie in them."""
+    child = clusters.select("page_id", F.col("cluster_id").alias("child_id"), *"ltrb")
+    hulls = children_of_special(clusters).join(child, ["page_id", "child_id"]).groupBy("page_id", F.col("special_id").alias("cluster_id")).agg(*hull())
+    hulls = hulls.select("page_id", "cluster_id", *[F.col(c).alias(f"n_{c}") for c in "ltrb"])
+    region = F.col("label").isin("form", "key_value_region")
+    return clusters.join(hulls, ["page_id", "cluster_id"], "left").select(*[F.when(region, F.coalesce(f"n_{c}", c)).otherwise(F.col(c)).alias(c) if c in "ltrb" else c for c in clusters.columns])
+
+
+def without_doubled_wrappers(clusters: DataFrame, least: float = 0.9, margin: float = 0.1) -> DataFrame:
+    """Clusters but forms, key-value regions and indexes that a table nearly covers, unless they are surer by ``margin``."""
+    table = clusters.where("label = 'table'").select("page_id", F.col("confidence").alias("sure"), *[F.col(c).alias(f"x_{c}") for c in "ltrb"])
+    wrapper = clusters.where(F.col("label").isin("form", "key_value_region", "document_index"))
+    gone = wrapper.join(table, "page_id").where((Box.of().over_self(Box.of("x_")) > least) & (F.col("confidence") - F.col("sure") < margin))
+    return clusters.join(gone.select("page_id", "cluster_id").distinct(), ["page_id", "cluster_id"], "left_anti")
+
+
+def refined(clusters: DataFrame, cells: DataFrame, assigned: DataFrame, rounds: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(clusters, assigned cells) after boxes are drawn around their cells and overlapping clusters become their
+    group's best member, which takes their cells, until no clusters overlap or for ``rounds`` rounds."""
+    for _ in range(rounds):
+        clusters = settled(shrunk(clusters, cells, assigned).drop("first_cell"))
+        groups = components(overlap_edges(clusters))
+        best = best_of_groups(clusters, groups).withColumnRenamed("cluster_id", "best")
+        moves = settled(groups.join(best, ["page_id", "component"]).where("node <> best").select("page_id", F.col("node").alias("cluster_id"), "best"))
+        if moves.isEmpty():
+            break
+        clusters = clusters.join(moves, ["page_id", "cluster_id"], "left_anti")
+        assigned = settled(assigned.join(moves, ["page_id", "cluster_id"], "left").select("page_id", "cell_ix", F.coalesce("best", "cluster_id").alias("cluster_id")))
+    return clusters, assigned
+
+
+def first_cells(cells: DataFrame, more: DataFrame) -> DataFrame:
+    """Both sets of cells, one for each index: that of ``cells`` goes before one of ``more``."""
+    both = cells.withColumn("turn", F.lit(0)).unionByName(more.withColumn("turn", F.lit(1)))
+    first = Window.partitionBy("page_id", "cell_ix").orderBy("turn", "l", "t", "r", "b")
+    return both.withColumn("n", F.row_number().over(first)).where("n = 1").drop("n", "turn")
+
+
+def with_predictions(clusters: DataFrame, predictions: DataFrame) -> DataFrame:
+    """(page_id, cluster_id, n_rows, n_cols, otsl) of table clusters; one without a prediction is an empty table."""
+    tables = clusters.where(F.col("label").isin("table", "document_index")).select("page_id", "cluster_id")
+    found = tables.join(predictions, ["page_id", "cluster_id"], "left")
+    return found.select("page_id", "cluster_id", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_cols", F.lit(0)).alias("n_cols"), F.coalesce("otsl", F.lit("")).alias("otsl"))
+
+
+def candidate_counts(cells: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(page_id, p50, p95, most): how many clusters touch a cell, by picks from the sorted counts."""
+    box = clusters.select("page_id", *[F.col(c).alias(f"x_{c}") for c in "ltrb"])
+    valid = valid_cells(cells)
+    touching = valid.join(box, "page_id").where(Box.of().overlaps(Box.of("x_"))).groupBy("page_id", "cell_ix").agg(F.count("*").alias("n"))
+    all_ = valid.select("page_id", "cell_ix").join(touching, ["page_id", "cell_ix"], "left").select("page_id", F.coalesce("n", F.lit(0)).alias("n"))
+    counts = all_.groupBy("page_id").agg(F.array_sort(F.collect_list("n")).alias("c"))
+    pick = lambda share: F.get("c", F.floor(F.size("c") * share).cast("int"))
+    return counts.select("page_id", pick(0.5).alias("p50"), pick(0.95).alias("p95"), F.array_max("c").alias("most"))

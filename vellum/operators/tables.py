@@ -206,3 +206,126 @@ def to_markdown(slots: DataFrame, texts: DataFrame) -> DataFrame:
     lines = padded.groupBy("table_id", "row").agg(line("cell").alias("line"), line("rule").alias("rule"))
     both = F.when(F.col("row") == 0, F.concat_ws("\n", "line", "rule")).otherwise(F.col("line"))
     return lines.groupBy("table_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", both.alias("line")))), lambda p: p.line), "\n").alias("markdown"))
+
+
+#: Structure tokens that give a box, and those after which the next one gives none.
+BOXED, BEFORE_SKIP = ["fcel", "ecel", "ched", "rhed", "srow", "nl", "ucel"], ["nl", "ucel", "xcel"]
+
+
+def decoded(tables: DataFrame) -> DataFrame:
+    """(table_id, pos, token, box, span_start): structure tokens after the decoder's rules.
+
+    xcel is read as lcel, and lcel right after ucel as fcel. A token gives a box (numbered from 0) if it is of
+    the right kind and the one before does not forbid it, or if it is the first of a run of lcel, which opens a
+    span; the next box of another kind closes the span: there ``span_start`` is the box that opened it.
+    """
+    w = Window.partitionBy("table_id").orderBy("pos")
+    tokens = tables.select("table_id", F.posexplode(F.split("otsl", " ")).alias("pos", "token"))
+    tokens = tokens.withColumn("token", F.when(F.col("token") == "xcel", "lcel").otherwise(F.col("token")))
+    tokens = tokens.withColumn("token", F.when((F.col("token") == "lcel") & (F.lag("token").over(w) == "ucel"), "fcel").otherwise(F.col("token")))
+    before = F.lag("token").over(w)
+    skip = before.isNull() | before.isin(BEFORE_SKIP)
+    opens = (F.col("token") == "lcel") & F.coalesce(before != "lcel", F.lit(True))
+    tokens = tokens.withColumn("opens", opens).withColumn("gives", opens | (~skip & F.col("token").isin(BOXED)))
+    tokens = tokens.withColumn("box", F.when(F.col("gives"), F.sum(F.col("gives").cast("int")).over(w) - 1))
+    last = F.last(F.when(F.col("gives"), F.struct("opens", "box")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    closes = F.when(F.col("gives") & ~F.col("opens") & last.opens, last.box)
+    return tokens.select("table_id", F.col("pos").cast("bigint").alias("pos"), "token", "box", closes.alias("span_start"))
+
+
+def synced_boxes(tags: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Boxes (table_id, ix) of tables; where their number is not that of cell tags, the box after each span tag goes.
+
+    tags (table_id, pos, tag): ``<td>`` and ``>`` (the end of a tag with spans) stand for cells.
+    """
+    w = Window.partitionBy("table_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    cells = tags.where(F.col("tag").isin("<td>", ">")).withColumn("ix", F.count("*").over(w))
+    wanted = cells.groupBy("table_id").agg(F.count("*").alias("wanted"))
+    odd = boxes.groupBy("table_id").agg(F.count("*").alias("have")).join(wanted, "table_id", "left").where("have <> coalesce(wanted, 0)")
+    gone = cells.where("tag = '>'").join(odd, "table_id", "left_semi").select("table_id", "ix").distinct()
+    return boxes.join(gone, ["table_id", "ix"], "left_anti")
+
+
+def with_text(tokens: DataFrame) -> DataFrame:
+    return tokens.where(F.trim("text") != "")
+
+
+def without_columns(cells: DataFrame, matches: DataFrame, columns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cells and matches without those of some columns (table_id, column_id)."""
+    kept = cells.join(columns, ["table_id", "column_id"], "left_anti")
+    return kept, matches.join(kept.select("table_id", "cell_id"), ["table_id", "cell_id"], "left_semi")
+
+
+def matched_kinds(cells: DataFrame, matches: DataFrame) -> DataFrame:
+    """(table_id, column_id, good, bad): cells that matched and are of a class over 1, one for each match, and the others."""
+    hits = matches.groupBy("table_id", "cell_id").agg(F.count("*").alias("hits"))
+    joined = cells.join(hits, ["table_id", "cell_id"], "left")
+    good = (F.col("cell_class") > 1) & F.col("hits").isNotNull()
+    return joined.groupBy("table_id", "column_id").agg(F.coalesce(F.sum(F.when(good, F.col("hits"))), F.lit(0)).alias("good"), F.count(F.when(~good, 1)).alias("bad"))
+
+
+def token_columns(cells: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(table_id, token_id, column_id, overlap): the column that shares most of a token's width; none if no column does."""
+    columns = bands(cells)[1]
+    over = F.least("x2", "high") - F.greatest("x1", "low")
+    pairs = tokens.join(columns, "table_id").withColumn("overlap", over).where("overlap > 0")
+    best = pairs.groupBy("table_id", "token_id").agg(F.max(F.struct("overlap", (-F.col("column_id")).alias("k"))).alias("best"))
+    return best.select("table_id", "token_id", (-F.col("best.k")).alias("column_id"), F.col("best.overlap").alias("overlap"))
+
+
+def missing_rows(cells: DataFrame, tokens: DataFrame, matches: DataFrame, *, ratio: float = 0.35, groups: int = 3, least: int = 2) -> DataFrame:
+    """New cells (table_id, cell_id, row_id, column_id, x1, y1, x2, y2) for unmatched tokens that look like a lost row.
+
+    Only tables with at most ``ratio`` of their tokens unmatched, in at most ``groups`` groups by height, are
+    mended. A group is a row if ``least`` of its tokens lie in as many columns, one the leftmost, another with a
+    value, and no row stands at its height.
+    """
+    key = Window.partitionBy("table_id")
+    lost = with_text(tokens).join(matches.select("table_id", "token_id").distinct(), ["table_id", "token_id"], "left_anti")
+    share = tokens.groupBy("table_id").agg(F.count("*").alias("all")).join(lost.groupBy("table_id").agg(F.count("*").alias("lost")), "table_id")
+    lost = lost.join(share.where(F.col("lost") / F.col("all") <= ratio).select("table_id"), "table_id", "left_semi")
+    centres = cells.groupBy("table_id", "row_id").agg(F.avg((F.col("y1") + F.col("y2")) / 2).alias("y"))
+    pitch = centres.groupBy("table_id").agg(F.when(F.count("*") > 1, F.round((F.max("y") - F.min("y")) / (F.count("*") - 1) * 0.6, 9)).otherwise(F.lit(15.0)).alias("pitch"))
+    down = key.orderBy("y", "token_id")
+    lost = lost.withColumn("y", (F.col("y1") + F.col("y2")) / 2).join(pitch, "table_id")
+    lost = lost.withColumn("turn", F.when(F.col("y") - F.lag("y").over(down) >= F.col("pitch"), 1).otherwise(0)).withColumn("group", F.sum("turn").over(down)).withColumn("at", F.row_number().over(down))
+    lost = lost.withColumn("last", F.max("group").over(key)).where(F.col("last") < groups)
+    placed = lost.join(token_columns(cells, tokens), ["table_id", "token_id"]).join(cells.groupBy("table_id").agg(F.min("column_id").alias("label"), F.max("row_id").alias("last_row"), F.max("cell_id").alias("last_cell")), "table_id")
+    value = (F.col("column_id") != F.col("label")) & F.col("text").rlike(VALUE)
+    found = placed.groupBy("table_id", "group", "last_row", "last_cell", "pitch").agg(
+        F.count("*").alias("n"), F.countDistinct("column_id").alias("columns"), F.max(F.col("column_id") == F.col("label")).alias("labelled"), F.max(value).alias("valued")
+    )
+    extent = lost.groupBy("table_id", "group").agg(F.min("y1").alias("top"), F.max("y2").alias("bottom"))
+    found = found.where(F.col("labelled") & F.col("valued") & (F.col("n") >= least) & (F.col("columns") >= least)).join(extent, ["table_id", "group"])
+    margin = F.least(F.lit(4.0), F.col("pitch") * 0.25)
+    taken = found.join(bands(cells)[0].select("table_id", "low", "high"), "table_id").where((F.col("bottom") >= F.col("low") - margin) & (F.col("top") <= F.col("high") + margin))
+    found = found.join(taken.select("table_id", "group").distinct(), ["table_id", "group"], "left_anti")
+    found = found.withColumn("row_id", F.col("last_row") + F.row_number().over(key.orderBy("group")))
+    made = placed.join(found.select("table_id", "group", "row_id"), ["table_id", "group"]).groupBy("table_id", "row_id", "column_id", "last_cell").agg(
+        F.min("at").alias("at"), F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2")
+    )
+    return made.select("table_id", (F.col("last_cell") + F.row_number().over(key.orderBy("at"))).cast("bigint").alias("cell_id"), F.col("row_id").cast("bigint").alias("row_id"), "column_id", "x1", "y1", "x2", "y2")
+
+
+def responses(cells: DataFrame, matches: DataFrame) -> DataFrame:
+    """One row for each token: the place, spans and header flags of the cells that it matches; of several cells the last
+    gives the place. cells have ``label`` (the structure token), row_span and col_span."""
+    flag = lambda label: F.max(F.col("label") == label)
+    last = F.max(F.struct("cell_id", "row_id", "column_id", "row_span", "col_span")).alias("last")
+    found = matches.select("table_id", "token_id", "cell_id").join(cells, ["table_id", "cell_id"]).groupBy("table_id", "token_id").agg(
+        last, flag("ched").alias("column_header"), flag("rhed").alias("row_header"), flag("srow").alias("row_section")
+    )
+    return found.select(
+        "table_id", "token_id", F.col("last.row_id").alias("start_row"), (F.col("last.row_id") + F.col("last.row_span")).alias("end_row"),
+        F.col("last.column_id").alias("start_col"), (F.col("last.column_id") + F.col("last.col_span")).alias("end_col"), "column_header", "row_header", "row_section",
+    )
+
+
+def without_row(cells: DataFrame, row: int) -> DataFrame:
+    """Cells without a row, the later ones moved up."""
+    return cells.where(F.col("row_id") != row).withColumn("row_id", F.col("row_id") - F.when(F.col("row_id") > row, 1).otherwise(0))
+
+
+def with_space(cells: DataFrame, row: int, n: int = 1) -> DataFrame:
+    """Cells from a row on moved down by ``n`` rows."""
+    return cells.withColumn("row_id", F.col("row_id") + F.when(F.col("row_id") >= row, n).otherwise(0))

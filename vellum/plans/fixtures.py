@@ -35,10 +35,18 @@ SELECT c.page_id, c.cluster_id * 3 + v.k AS cell_ix,
  CASE WHEN (c.page_id + v.k) % 13 = 0 THEN ' ' ELSE 'w' || CAST((c.page_id * 7 + c.cluster_id + v.k) % 97 AS STRING)
   || CASE WHEN v.k = 2 AND c.page_id % 3 = 0 THEN '-' ELSE '' END END AS text
  FROM d_clusters c CROSS JOIN (VALUES (0),(1),(2)) AS v(k)""",
+    "d_based": """
+SELECT page_id AS doc_id, ix AS node_id, CASE WHEN ix = 0 THEN NULL ELSE CAST(floor((ix - 1) / 3.0) AS BIGINT) END AS parent_id,
+ CASE (pk + ix) % 9 WHEN 0 THEN 'list' WHEN 1 THEN 'section_header' WHEN 2 THEN 'code' WHEN 3 THEN 'picture' WHEN 4 THEN 'formula' WHEN 5 THEN 'ordered_list' WHEN 6 THEN 'title' ELSE 'text' END AS base,
+ CASE WHEN (pk + ix) % 7 = 0 THEN 'furniture' ELSE 'body' END AS layer, 1 + pk % 3 AS level,
+ CASE WHEN (pk + ix) % 9 IN (0, 3, 5) THEN '' ELSE 'n_' || CAST(pk AS STRING) || CASE WHEN sk % 3 = 0 THEN ' <&> two words' ELSE '' END END AS text FROM d_rows""",
     "d_nodes": """
 SELECT page_id AS doc_id, ix AS node_id, CASE WHEN ix = 0 THEN NULL ELSE CAST(floor((ix - 1) / 3.0) AS BIGINT) END AS parent_id,
  CASE WHEN (pk + ix) % 5 = 0 THEN 'furniture' ELSE 'body' END AS content_layer, CASE WHEN pk % 4 = 0 THEN 'section_header' ELSE 'text' END AS label,
  1 + pk % 3 AS level, 'n' || CAST(pk AS STRING) AS text FROM d_rows""",
+    "d_tree": """
+SELECT n.doc_id, n.node_id, n.parent_id, n.node_id AS child_ix, CASE WHEN p.base IN ('list', 'ordered_list') AND n.base NOT IN ('list', 'ordered_list') THEN 'list_item' ELSE n.base END AS label,
+ n.layer, n.level, CAST(floor(n.node_id / 3.0) AS BIGINT) + 1 AS page_no, n.text FROM d_based n LEFT JOIN d_based p ON p.doc_id = n.doc_id AND p.node_id = n.parent_id""",
     "d_otsl": """
 SELECT p_partkey AS table_id, CASE p_partkey % 4 WHEN 0 THEN 'ched ched nl fcel fcel nl' WHEN 1 THEN 'ched lcel nl fcel ecel nl'
  WHEN 2 THEN 'rhed fcel nl ucel fcel nl fcel fcel nl' ELSE 'srow lcel nl fcel nl' END AS otsl FROM {part}""",
@@ -50,6 +58,14 @@ SELECT page_id AS table_id, ix AS cell_id, CAST(floor(ix / 3.0) AS BIGINT) AS ro
 SELECT table_id, cell_id AS token_id, x1 + 5 + (table_id % 4) * 15 AS x1, CASE WHEN (table_id + cell_id) % 9 = 0 THEN y1 + 200 ELSE y1 + 2 END AS y1,
  CASE WHEN (table_id + cell_id) % 5 = 0 THEN x1 + 130 ELSE x1 + 45 + (table_id % 4) * 15 END AS x2, CASE WHEN (table_id + cell_id) % 9 = 0 THEN y1 + 212 ELSE y1 + 14 END AS y2,
  CASE WHEN cell_id % 3 = 0 THEN 'lab' || CAST(cell_id AS STRING) ELSE '$' || CAST(table_id % 1000 AS STRING) END AS text FROM d_table_cells""",
+    "d_otsl_odd": """
+SELECT p_partkey AS table_id, CASE p_partkey % 5 WHEN 0 THEN 'ched ched nl fcel fcel nl' WHEN 1 THEN 'ched lcel lcel nl fcel ecel ucel nl' WHEN 2 THEN 'fcel lcel nl ucel lcel fcel nl'
+ WHEN 3 THEN 'fcel lcel xcel nl ucel xcel fcel nl' ELSE 'srow lcel nl fcel lcel fcel lcel nl rhed fcel nl' END AS otsl FROM {part}""",
+    "d_tokens_lost": """
+SELECT c.table_id, c.cell_id AS token_id, c.x1 + 5 AS x1, CASE WHEN n = 7 AND c.row_id = 1 AND c.column_id < 2 THEN c.y1 + 200 ELSE c.y1 + 2 END AS y1, c.x1 + 45 AS x2,
+ CASE WHEN n = 7 AND c.row_id = 1 AND c.column_id < 2 THEN c.y1 + 212 ELSE c.y1 + 14 END AS y2,
+ CASE WHEN c.cell_id = 6 THEN ' ' WHEN c.column_id = 0 THEN 'total' WHEN c.table_id % 5 = 0 THEN 'n/a' ELSE CAST(c.table_id % 1000 AS STRING) END AS text
+ FROM d_table_cells c JOIN (SELECT table_id, count(*) AS n FROM d_table_cells GROUP BY table_id) k ON k.table_id = c.table_id""",
     "d_elements": """
 SELECT p.doc_id, p.page_no, c.cluster_id, c.label, c.l, 792 - c.t AS t, c.r, 792 - c.b AS b FROM d_clusters c JOIN d_pages p ON p.page_id = c.page_id""",
     "d_texts": """
