@@ -175,7 +175,7 @@ def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = A
     """(doc_id, row, start, stop): byte spans to remove; ``documents`` has doc_id, row and text."""
     found = written(anchors(documents, window, anchor), "anchors")
     again, distinct, kinds = recurring(found, F.col("places") > 1)
-    copies = at_places(again, distinct.where("places > 1").select("fp", "ph"))
+    copies = at_places(again, distinct.where("places > 1").select("fp", "ph"), lambda of: F.lit(True))
     whole = copies.select("doc_id", "row", "start", (F.col("start") + F.col("n") + window - 1).cast("int").alias("stop"))
     wanted = distinct.select("fp", "first.*").join(kinds, "fp").select("fp", "kinds", "doc_id", "row", "start", "n")
     pieces = written(cut(documents, wanted, lambda text: lambda start, n: text[start : start + n + window - 1]), "pieces")

@@ -169,7 +169,7 @@ def more_places(again: DataFrame, distinct: DataFrame, kinds: DataFrame) -> Data
     """(fp, row, at, own, to): the other places (own, to) that the first document of a piece has it at, its first being (row, at)."""
     first = distinct.where("places > 1").join(kinds, "fp", "left_semi").select("fp", "ph", "first.row", F.col("first.start").alias("at"), "lo")
     first = first.withColumnRenamed("row", "first_row")
-    same = at_places(again, first).where("doc_id = lo and (row <> first_row or start <> at)")
+    same = at_places(again, first, lambda of: (of("doc_id") == F.col("lo")) & ((of("row") != F.col("first_row")) | (of("start") != F.col("at"))))
     return same.select("fp", F.col("first_row").alias("row"), "at", F.col("row").alias("own"), F.col("start").alias("to")).distinct()
 
 
@@ -178,7 +178,7 @@ def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = A
     documents = documents.where("doc_id is not null")
     found = written(anchors(documents, window, anchor), "anchors")
     again, distinct, kinds = recurring(found, F.col("lo") < F.col("hi"))
-    copies = at_places(again, distinct.where("lo < hi").select("fp", "ph", "lo")).where("doc_id > lo")
+    copies = at_places(again, distinct.where("lo < hi").select("fp", "ph", "lo"), lambda of: of("doc_id") > F.col("lo"))
     whole = copies.select("doc_id", "row", "start", (F.col("start") + F.col("n") + window - 1).cast("int").alias("stop"))
     wanted = distinct.select("fp", "first.*").join(kinds, "fp").select("fp", "kinds", "doc_id", "row", "start", "n")
 

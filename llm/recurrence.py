@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from llm.tables import drop, fresh, in_batches, written
 
 #: From how many places on an anchor's places are dealt by salt, and how many salts there are.
-CROWD, SALTS = 1000, 64
+CROWD, SALTS = 1000, 1024
 SPAN = "doc_id bigint, row bigint, start int, stop int"
 PIECE = "fp bigint, kinds bigint, doc_id bigint, row bigint, start int, n int, words binary"
 
@@ -48,17 +48,19 @@ def recurring(found: DataFrame, recurs: Column) -> tuple[DataFrame, DataFrame, D
     return again, pieces, kinds
 
 
-def at_places(again: DataFrame, pieces: DataFrame) -> DataFrame:
-    """The rows of ``again`` whose piece is one of ``pieces`` (fp, ph, and what else they are to get).
+def at_places(again: DataFrame, pieces: DataFrame, keep: Callable[[Callable[[str], Column]], Column]) -> DataFrame:
+    """The rows of ``again`` that ``keep`` keeps of those whose piece is one of ``pieces`` (fp, ph, and what else they are to get).
 
     Rows of an anchor with over ``CROWD`` places are gathered in ``SALTS`` lists a piece first, so that no
-    task joins all places of one piece; the lists are dealt out again before they are taken apart.
+    task joins all places of one piece; the lists are dealt out again before they are taken apart. ``keep`` gets a
+    function from the name of a place's column to the column.
     """
-    few = again.where(F.col("crowd") <= CROWD).join(pieces, ["fp", "ph"])
+    few = again.where(F.col("crowd") <= CROWD).join(pieces, ["fp", "ph"]).where(keep(F.col))
     place = ["doc_id", "row", "start", "n"]
     salt = F.pmod(F.xxhash64("row", "start"), F.lit(SALTS)).alias("salt")
     lists = again.where(F.col("crowd") > CROWD).groupBy("fp", "ph", "crowd", salt).agg(F.collect_list(F.struct(*place)).alias("places"))
-    many = lists.join(pieces, ["fp", "ph"]).repartition("fp", "ph", "salt").withColumn("place", F.explode("places"))
+    kept = lists.join(pieces, ["fp", "ph"]).withColumn("places", F.filter("places", lambda p: keep(lambda name: p[name]))).where(F.size("places") > 0)
+    many = kept.repartition("fp", "ph", "salt").withColumn("place", F.explode("places"))
     return few.unionByName(many.select(*["place." + c if c in place else c for c in few.columns]))
 
 
