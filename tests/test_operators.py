@@ -76,6 +76,52 @@ def test_delimited_files_and_ragged_rows(spark):
     assert len(found) == 11
 
 
+def test_quoted_fields_hold_separators_and_line_ends(spark):
+    rows = [(1, i, x) for i, x in enumerate(['a,b,c', ',"x, ""y""",', '1,"two', 'lines, ""2""",3', '"",4,'])]
+    found = lines.cells(spark.createDataFrame(rows, "file_id long, line_id long, line string")).orderBy("row", "col").collect()
+    assert [r.text for r in found] == ["a", "b", "c", "", 'x, "y"', "", "1", 'two\nlines, "2"', "3", "", "4", ""] and not any(r.ragged for r in found)
+
+
+def test_headings_of_every_level(spark):
+    rows = [(1, 0, "section_header", 9, "nine"), (1, 1, "text", 0, "a"), (1, 2, "section_header", 40, "forty"), (1, 3, "text", 0, "b"), (1, 4, "section_header", 3, "three"), (1, 5, "text", 0, "c")]
+    found = chunking.heading_context(spark.createDataFrame(rows, "doc_id long, node_id long, label string, level long, text string"))
+    assert {r.node_id: r.headings for r in found.collect() if r.node_id % 2} == {1: ["nine"], 3: ["nine", "forty"], 5: ["three"]}
+
+
+def test_overlapping_clusters_become_one(spark):
+    clusters = spark.createDataFrame([(1, 0, "text", 0.9, 0.0, 0.0, 100.0, 50.0), (1, 1, "text", 0.6, 2.0, 1.0, 99.0, 49.0), (1, 2, "text", 0.9, 0.0, 90.0, 50.0, 99.0)], "page_id long, cluster_id long, label string, confidence double, l double, t double, r double, b double")
+    cells = spark.createDataFrame([(1, 0, 1.0, 1.0, 60.0, 40.0, "a"), (1, 1, 3.0, 2.0, 62.0, 41.0, "b"), (1, 2, 5.0, 92.0, 9.0, 95.0, "c")], "page_id long, cell_ix long, l double, t double, r double, b double, text string")
+    found, assigned = layout.refined(clusters, cells, spark.createDataFrame([(1, 0, 0), (1, 1, 1), (1, 2, 2)], "page_id long, cell_ix long, cluster_id long"))
+    assert {r.cluster_id: (r.l, r.b) for r in found.collect()} == {0: (1.0, 41.0), 2: (5.0, 95.0)}
+    assert {(r.cell_ix, r.cluster_id) for r in assigned.collect()} == {(0, 0), (1, 0), (2, 2)}
+
+
+def test_similarity_is_the_share_of_matching_blocks(spark):
+    from difflib import SequenceMatcher
+
+    pairs = [("abcd", "bcde"), ("", ""), (None, "x"), ("same", "same"), ("private Thread", "private volatile Thread")]
+    found = [r[0] for r in spark.createDataFrame(pairs, "a string, b string").select(text.similarity("a", "b")).collect()]
+    assert found == [SequenceMatcher(None, a or "", b or "").ratio() for a, b in pairs]
+
+
+def test_late_rows_of_a_stream_are_dropped(spark, tmp_path):
+    from vellum.streaming import windows
+
+    rows = [("2024-01-01 10:05:00", 1.0), ("2024-01-01 14:00:00", 2.0), ("2024-01-01 10:06:00", 4.0), ("2024-01-01 18:00:00", 8.0)]
+    schema = "ts timestamp, event_type string, user_id long, value double"
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    for i, (ts, value) in enumerate(rows):
+        part = spark.createDataFrame([("view", 1, value)], "event_type string, user_id long, value double").selectExpr(f"timestamp'{ts}' as ts", "event_type", "user_id", "value")
+        part.coalesce(1).write.parquet(str(tmp_path / f"part{i}"))
+        file = next((tmp_path / f"part{i}").glob("*.parquet"))
+        file.rename(tmp_path / "in" / f"{i}.parquet")
+        query = windows.counted(stream, "1 hour", late="30 minutes").writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).format("parquet").option("path", str(tmp_path / "out")).start()
+        query.awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {(str(r.opens)[11:13], r.n, r.total) for r in found} >= {("10", 1, 1.0), ("14", 1, 2.0)} and not any(r.total == 4.0 or r.n == 2 for r in found)
+
+
 def test_chunks_keep_order_and_limit(spark):
     items = [(1, i, "h" if i < 3 else "g", " ".join(f"w{i}_{j}" for j in range(n))) for i, n in enumerate([3, 4, 5, 2, 25])]
     found = chunking.greedy_chunks(spark.createDataFrame(items, "doc_id long, pos long, heading string, text string"), 8).orderBy("chunk_id").collect()

@@ -42,13 +42,30 @@ def separator(first: Column) -> Column:
     return F.when(best.n > 0, best.s).otherwise(F.lit(","))
 
 
+def records(lines: DataFrame) -> DataFrame:
+    """(file_id, row, text) of lines (file_id, line_id, line): a line within open quotes goes on with the one before."""
+    w = Window.partitionBy("file_id").orderBy("line_id")
+    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    before = F.coalesce(F.sum("quotes").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = lines.withColumn("quotes", quotes).withColumn("fresh", F.when(before % 2 == 0, 1).otherwise(0))
+    numbered = numbered.withColumn("row", (F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).cast("bigint"))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("line_id", "line"))), lambda x: x.line)
+    return numbered.groupBy("file_id", "row").agg(F.array_join(parts, "\n").alias("text"))
+
+
+def fields(text: Column, sep: Column) -> Column:
+    """The fields of a record; a field in double quotes may hold separators, line ends and doubled quotes."""
+    pattern = F.concat(F.lit("(?s)["), sep, F.lit(']("(?:[^"]|"")*+"|[^'), sep, F.lit("]*)"))
+    found = F.regexp_extract_all(F.concat(sep, text), pattern, F.lit(1))
+    quoted = lambda f: f.startswith('"') & f.endswith('"') & (F.length(f) > 1)
+    return F.transform(found, lambda f: F.when(quoted(f), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f))
+
+
 def cells(lines: DataFrame) -> DataFrame:
     """(file_id, row, col, text, header, ragged) of files given as lines (file_id, line_id, line); a row is
     ragged if its length is not that of the first."""
-    w = Window.partitionBy("file_id").orderBy("line_id")
-    first = lines.groupBy("file_id").agg(F.min_by("line", "line_id").alias("first"))
-    rows = lines.withColumn("row", (F.row_number().over(w) - 1).cast("bigint")).join(first.withColumn("sep", separator(F.col("first"))), "file_id")
-    pattern = lambda c: F.concat(F.lit("["), c, F.lit("]"))
-    parts = F.split(F.col("line"), pattern(F.col("sep")))
-    out = rows.select("file_id", "row", F.posexplode(parts).alias("col", "text"), (F.size(parts) != F.size(F.split(F.col("first"), pattern(F.col("sep"))))).alias("ragged"))
+    first = lines.groupBy("file_id").agg(separator(F.min_by("line", "line_id")).alias("sep"))
+    rows = records(lines).join(first, "file_id").select("file_id", "row", fields(F.col("text"), F.col("sep")).alias("fields"))
+    width = rows.where("row = 0").select("file_id", F.size("fields").alias("width"))
+    out = rows.join(width, "file_id").select("file_id", "row", F.posexplode("fields").alias("col", "text"), (F.size("fields") != F.col("width")).alias("ragged"))
     return out.select("file_id", "row", F.col("col").cast("bigint").alias("col"), "text", (F.col("row") == 0).alias("header"), "ragged")
