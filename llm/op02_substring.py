@@ -7,7 +7,8 @@ goes if a window over it also starts in a document with a smaller doc_id.
    Equal windows have equal anchors, so only windows whose anchors recur in another document can
    recur. The piece of an anchor is all windows assigned to it, some 70 words.
 2. Pieces that are equal word for word (two 64-bit hashes) are one: of their documents all but the
-   first lose the whole piece. This takes hot groups of copies down to one piece each.
+   first lose the whole piece. This takes hot groups of copies down to one piece each. Pieces that
+   very many places have are looked up document by document, and give merged spans.
 3. Where an anchor has several different pieces, those of each anchor meet in a shard. Windows
    that recur there are confirmed, compiled into an Aho-Corasick automaton over words, and every
    piece is streamed through it; each hit on a window from a smaller doc_id goes, at every place
@@ -28,18 +29,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm.hashing import assigned, merged, mix, prefix, ranges, slices, windows, word_hashes
-from llm.recurrence import at_places, cut, keyed, recurring, with_spans
+from llm import recurrence
+from llm.recurrence import SPAN, at_places, cut, keyed, recurring, with_spans
 from llm.tables import fresh, in_batches, in_groups, others, table, written
 
 WINDOW = 50
 ANCHOR = 10
 HOT = 256
 SHARD = 2000
+#: The most pieces that are looked up from a copy in each task (24 bytes a piece); where more are crowded, places are joined.
+LOOKED_UP = 1_000_000
 HIT = "fp bigint, row bigint, at int, doc_id bigint, start int, stop int"
 
 
@@ -173,13 +178,50 @@ def more_places(again: DataFrame, distinct: DataFrame, kinds: DataFrame) -> Data
     return same.select("fp", F.col("first_row").alias("row"), "at", F.col("row").alias("own"), F.col("start").alias("to")).distinct()
 
 
+def looked_up(again: DataFrame, crowded: DataFrame, window: int) -> DataFrame:
+    """Spans of the crowded pieces (fp, ph, lo) in documents after the first that has them, merged in each document."""
+    pieces = crowded.toPandas()
+    held = again.sparkSession.sparkContext.broadcast([pieces[c].to_numpy() for c in ("fp", "ph", "lo")])
+    lists = again.where(F.col("crowd") > recurrence.CROWD).groupBy("doc_id", "row").agg(F.collect_set(F.struct("fp", "ph", "start", "n")).alias("places"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fp, ph, lo = held.value
+        index = pd.MultiIndex.from_arrays([fp, ph])
+        for batch in batches:
+            of = pc.list_parent_indices(batch.column(2)).to_numpy()
+            fp, ph, start, n = (c.to_numpy(zero_copy_only=False) for c in batch.column(2).flatten().flatten())
+            at = index.get_indexer(pd.MultiIndex.from_arrays([fp, ph]))
+            gone = (at >= 0) & (batch.column(0).to_numpy()[of] > lo[at])
+            # each document has a stretch of numbers of its own, so that all are merged at once
+            begin = (of[gone].astype(np.int64) << 32) + start[gone]
+            begin, end = merged(begin, begin + n[gone] + window - 1)
+            own = begin >> 32
+            places = [(x - (own << 32)).astype(np.int32) for x in (begin, end)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), batch.column(1).take(pa.array(own)), *map(pa.array, places)], names=["doc_id", "row", "start", "stop"])
+
+    return in_batches(lists, run, SPAN)
+
+
+def copied(again: DataFrame, distinct: DataFrame, window: int) -> DataFrame:
+    """Spans of the pieces that a smaller document has word for word."""
+    later = distinct.where("lo < hi").select("fp", "ph", "lo", "places")
+    crowded = later.where(F.col("places") > recurrence.CROWD).drop("places")
+    found = None
+    if 0 < crowded.count() <= LOOKED_UP:
+        found = looked_up(again, crowded, window)
+        again = again.join(F.broadcast(crowded.select("fp", "ph")), ["fp", "ph"], "left_anti")
+        later = later.where(F.col("places") <= recurrence.CROWD)
+    copies = at_places(again, later.drop("places"), lambda of: of("doc_id") > F.col("lo"))
+    whole = copies.select("doc_id", "row", "start", (F.col("start") + F.col("n") + window - 1).cast("int").alias("stop"))
+    return whole if found is None else whole.unionByName(found)
+
+
 def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT, shard: int = SHARD) -> DataFrame:
     """(doc_id, row, start, stop): word spans to remove; ``documents`` has doc_id, row and text."""
     documents = documents.where("doc_id is not null")
     found = written(anchors(documents, window, anchor), "anchors")
     again, distinct, kinds = recurring(found, F.col("lo") < F.col("hi"))
-    copies = at_places(again, distinct.where("lo < hi").select("fp", "ph", "lo"), lambda of: of("doc_id") > F.col("lo"))
-    whole = copies.select("doc_id", "row", "start", (F.col("start") + F.col("n") + window - 1).cast("int").alias("stop"))
+    whole = copied(again, distinct, window)
     wanted = distinct.select("fp", "first.*").join(kinds, "fp").select("fp", "kinds", "doc_id", "row", "start", "n")
 
     def take(text: bytes):

@@ -55,9 +55,10 @@ def test_repeated_bytes_go(documents, rows, hot, shard, crowd, monkeypatch):
     assert {r.spans_ for r in found} == {1}
 
 
-@pytest.mark.parametrize("hot,shard,crowd", [(256, 2000, 1000), (2, 5, 2), (5, 50, 10)])
-def test_passages_of_smaller_documents_go(documents, rows, hot, shard, crowd, monkeypatch):
+@pytest.mark.parametrize("hot,shard,crowd,held", [(256, 2000, 1000, 100), (2, 5, 2, 1000), (5, 50, 10, 1000), (5, 50, 2, 0)])
+def test_passages_of_smaller_documents_go(documents, rows, hot, shard, crowd, held, monkeypatch):
     monkeypatch.setattr(recurrence, "CROWD", crowd)
+    monkeypatch.setattr(op02_substring, "LOOKED_UP", held)
     first = {}
     texts = [(i, (t or "").encode().split()) for i, t in rows]
     for i, x in texts:
