@@ -101,7 +101,10 @@ def csv_cells(spark: SparkSession, d: str) -> DataFrame:
 def completeness_barrier_stream(spark: SparkSession, d: str) -> DataFrame:
     """Jobs of 4 events each, as a file stream through the barrier; the result is read back from its sink."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/spark-stream-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    root = root or f"file:///tmp/spark-stream-{uuid.uuid4().hex}"
     source = f"{root}/events-{uuid.uuid4().hex}"
     base(spark, d, "events").selectExpr("CAST(floor(event_id / 4) AS BIGINT) AS job_id", "event_id % 4 AS page_no", "4L AS total", "event_type AS payload").write.parquet(source)
     pages = spark.readStream.schema("job_id bigint, page_no bigint, total bigint, payload string").option("maxFilesPerTrigger", 4).parquet(source)
