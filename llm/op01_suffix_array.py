@@ -76,8 +76,7 @@ def repeated(pieces: list[bytes], counts: np.ndarray, window: int) -> np.ndarray
     offsets = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
     data[offsets + lengths] = 1
     data[-1] = 0
-    array = suffix_array(data, window)
-    shared, before = permuted_prefixes(data, array, window, exact=False)
+    shared, before = permuted_prefixes(data, suffix_array(data))
     twice = np.flatnonzero(shared >= window)
     mark = np.zeros(len(data) + 1, dtype=bool)
     mark[twice] = True

@@ -1,20 +1,23 @@
-"""Suffix arrays by induced sorting, and permuted common prefixes, vectorised with numpy.
+"""Suffix arrays by recursive induced sorting, and permuted common prefixes, vectorised with numpy.
 
 The text is an array of small numbers whose last is 0 and occurs nowhere else. Suffixes are
 classified as smaller (S) or larger (L) than their right neighbour; an S suffix after an L one is
 leftmost-smaller (LMS). Sorting the LMS substrings induces names; the string of names is sorted
-in turn, and from the sorted LMS suffixes all others are induced in two linear passes, one bucket
-(first symbol) after another. The string of names, a third of the text or less, has too large an
-alphabet for bucket passes in numpy, so its suffixes are sorted by doubling ranks, to as many
-names as ``depth`` symbols can hold; suffixes that agree on more symbols than that may come in any
-order. With ``depth`` None the order is complete.
+by the same function, and from the sorted LMS suffixes all others are induced in two linear
+passes, one bucket (first symbol) after another.
+
+Numpy handles a bucket at once, so alphabets must stay small. Where there are over ``NAMES`` names,
+each is written as two digits before the string of names is sorted: the order of suffixes that
+start at a first digit is that of the names. Two digits a name make the string no longer than two
+thirds of the text on texts whose classes are random; where it would not shrink, names are kept.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-from llm.hashing import prefix, ranges
+#: From how many names on a name is written as two digits.
+NAMES = 256
 
 
 def classify(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +88,26 @@ def induce(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray) -> np.ndarr
     return array
 
 
-def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
+def names_of(text: np.ndarray, lms: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """The rank of each LMS substring, in the order of ``lms``; ``found`` has their places, sorted."""
+    length = np.empty(len(text), dtype=np.int64)
+    length[lms] = np.append(np.diff(lms) + 1, 1)  # the next LMS symbol counts
+    size = length[found]
+    fresh = np.ones(len(found), dtype=np.int64)
+    alike = np.flatnonzero(size[1:] == size[:-1]) + 1
+    if len(alike):
+        size = size[alike]
+        first = np.cumsum(size) - size
+        step = np.arange(size.sum()) - np.repeat(first, size)
+        same = text[np.repeat(found[alike], size) + step] == text[np.repeat(found[alike - 1], size) + step]
+        fresh[alike] = ~np.logical_and.reduceat(same, first)
+    names = np.empty(len(text), dtype=np.int64)
+    names[found] = np.cumsum(fresh) - 1
+    return names[lms]
+
+
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """The places of all suffixes in their order."""
     text = text.astype(np.uint16 if int(text.max(initial=0)) < 1 << 16 else np.int64)
     smaller, lms = classify(text)
     if len(text) == 1 or not len(lms):
@@ -93,79 +115,50 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     sorted_substrings = induce(text, smaller, lms)
     is_lms = np.zeros(len(text), dtype=bool)
     is_lms[lms] = True
-    found = sorted_substrings[is_lms[sorted_substrings]]
-    stops = np.empty(len(text), dtype=np.int64)
-    stops[lms] = np.append(lms[1:] + 1, len(text))
-    sums = prefix(text)
-    stop = stops[found]
-    hashes = ranges(sums, found, stop)
-    fresh = np.ones(len(found), dtype=np.int64)
-    fresh[1:] = (hashes[1:] != hashes[:-1]) | ((stop - found)[1:] != (stop - found)[:-1])
-    names = np.empty(len(text), dtype=np.int64)
-    names[found] = np.cumsum(fresh) - 1
-    order = lms[double_ranks(names[lms], None if depth is None else depth // 2 + 1)]
-    return induce(text, smaller, order)
-
-
-def double_ranks(names: np.ndarray, depth: int | None) -> np.ndarray:
-    """The order of the suffixes of ``names`` by their first ``depth`` names or more."""
-    rank, have, n = names, 1, len(names)
-    while True:
-        top = int(rank.max()) + 1
-        if top == n or (depth is not None and have >= depth) or have >= n:
-            return np.argsort(rank, kind="stable")
-        key = rank * (top + 1)
-        key[: n - have] += rank[have:] + 1
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        fresh = np.empty(n, dtype=np.int64)
-        fresh[0] = 0
-        fresh[1:] = key[1:] != key[:-1]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(fresh)
-        have *= 2
-
-
-def permuted_prefixes(text: np.ndarray, array: np.ndarray, limit: int, exact: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(common prefix of each suffix with one before it in the array, up to ``limit``; that suffix).
-
-    Values of every sixteenth suffix are found by bisection on hashes. In a complete order a value is
-    at least its left neighbour's less one, so stretches that agree on far more than ``limit``
-    symbols follow from those. In an order cut at ``limit`` symbols (``exact`` False) that does not
-    hold: there every suffix is tested for ``limit``, and a smaller value is only a lower bound.
+    names = names_of(text, lms, sorted_substrings[is_lms[sorted_substrings]])
+    del sorted_substrings, is_lms
+    return induce(text, smaller, lms[name_order(names, len(text))])
+
+
+def name_order(names: np.ndarray, room: int) -> np.ndarray:
+    """The order of the suffixes of ``names``, whose last is 0; ``room`` is the length of the text they name."""
+    most = int(names.max())
+    if most + 1 == len(names):
+        return np.argsort(names)
+    if most < NAMES or 2 * len(names) > 0.9 * room:
+        return suffix_array(names)
+    base = int(np.ceil(np.sqrt(most)))
+    digits = np.zeros(2 * len(names) - 1, dtype=np.int64)
+    digits[:-1:2], digits[1::2] = np.divmod(names[:-1] - 1, base)
+    digits[:-1] += 1
+    order = suffix_array(digits)
+    return order[order % 2 == 0] // 2
+
+
+def permuted_prefixes(text: np.ndarray, array: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(common prefix of each suffix with the one before it in the array, 0 for the first; that suffix, -1 for the first).
+
+    A value is its left neighbour's less one where the symbols before both suffixes are equal. The
+    others add up to n log n at most and are found by comparing symbols, four at a time.
     """
-    n, step = len(text), 16
-    before = np.empty(n, dtype=np.int64)
+    n = len(text)
+    before = np.full(n, -1, dtype=np.int64)
     before[array[1:]] = array[:-1]
-    before[array[0]] = n
-    sums = prefix(text)
-    out = np.zeros(n, dtype=np.int64)
-
-    def measure(at: np.ndarray, most: int) -> np.ndarray:
-        other, have = before[at], np.zeros(len(at), dtype=np.int64)
-        size = 1 << (most.bit_length() - 1)
-        while size:
-            a, b = at + have, other + have
-            inside = np.flatnonzero((a + size <= n) & (b + size <= n))
-            a, b = a[inside], b[inside]
-            same = ranges(sums, a, a + size) == ranges(sums, b, b + size)
-            have[inside[same]] += size
-            size >>= 1
-        return have
-
-    at = np.arange(0, n, step)
-    out[at] = measure(at, 2 * limit - 1)
-    if exact:
-        known = np.zeros(n, dtype=bool)
-        known[at] = True
-        for d in range(1, step):
-            implied = at[(out[at] - d >= limit) & (at + d < n)] + d
-            out[implied], known[implied] = limit, True
-        rest = np.flatnonzero(~known)
-        out[rest] = measure(rest, 2 * limit - 1)
-    else:
-        rest = np.flatnonzero(before + limit <= n)
-        rest = rest[rest + limit <= n]
-        same = ranges(sums, rest, rest + limit) == ranges(sums, before[rest], before[rest] + limit)
-        out[rest[same]] = limit
-    return np.minimum(out, limit), before
+    own = np.ones(n, dtype=bool)
+    follows = np.flatnonzero(before[1:] > 0) + 1
+    own[follows] = text[follows - 1] != text[before[follows] - 1]
+    words = np.zeros(n, dtype=np.uint64)
+    for d in range(4):
+        words[: max(n - d, 0)] |= text[d:].astype(np.uint64) << np.uint64(16 * d)
+    shared = np.zeros(n, dtype=np.int64)
+    alive = np.flatnonzero(own & (before >= 0))
+    a, b = alive, before[alive]
+    while len(alive):
+        differ = words[a] ^ words[b]
+        for bits in (16, 32, 48):
+            shared[alive] += (differ << np.uint64(64 - bits)) == 0
+        go = differ == 0
+        alive, a, b = alive[go], a[go] + 4, b[go] + 4
+        shared[alive] += 1
+    last = np.maximum.accumulate(np.where(own, np.arange(n), 0))
+    return shared[last] - (np.arange(n) - last), before

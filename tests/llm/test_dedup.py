@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from llm import op01_suffix_array, op02_substring, op07_jaccard_join, recurrence
+from llm import suffix_array as suffix_array_module
 from llm.suffix_array import permuted_prefixes, suffix_array
 
 SCHEMA = "doc_id long, text string, kept string, spans_ int"
@@ -96,19 +97,22 @@ def test_empty_tables(spark, work):
     assert work(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_suffix_arrays_are_sorted_and_prefixes_exact():
+@pytest.mark.parametrize("names", [1, 3, 256])
+def test_suffix_arrays_are_sorted_and_prefixes_exact(names, monkeypatch):
+    monkeypatch.setattr(suffix_array_module, "NAMES", names)
     rng = random.Random(1)
-    for _ in range(200):
-        text = np.array([rng.randint(1, rng.choice([1, 2, 3, 5])) for _ in range(rng.randint(1, 60))] + [0])
+    for turn in range(300):
+        some = [rng.randint(1, rng.choice([1, 2, 3, 5, 400])) for _ in range(rng.randint(1, 60))]
+        text = np.array(some * rng.choice([1, 1, 2, 5]) + some[: turn % 7] + [0])
         plain = text.tolist()
         array = suffix_array(text)
         assert array.tolist() == sorted(range(len(plain)), key=lambda i: plain[i:])
-        shared, before = permuted_prefixes(text, array, 7)
+        shared, before = permuted_prefixes(text, array)
         for x, y in zip(array[1:], array[:-1]):
             n = 0
             while max(x, y) + n < len(plain) and plain[x + n] == plain[y + n]:
                 n += 1
-            assert shared[x] == min(7, n) and before[x] == y
+            assert shared[x] == n and before[x] == y
 
 
 def shingles(text):
