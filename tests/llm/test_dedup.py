@@ -97,8 +97,9 @@ def test_empty_tables(spark, work):
     assert work(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-@pytest.mark.parametrize("names", [1, 3, 256])
-def test_suffix_arrays_are_sorted_and_prefixes_exact(names, monkeypatch):
+@pytest.mark.parametrize("names,few", [(1, 0), (3, 0), (256, 0), (3, 10), (256, 1 << 17)])
+def test_suffix_arrays_are_sorted_and_prefixes_exact(names, few, monkeypatch):
+    monkeypatch.setattr(suffix_array_module, "FEW", few)
     monkeypatch.setattr(suffix_array_module, "NAMES", names)
     rng = random.Random(1)
     for turn in range(300):
