@@ -19,6 +19,21 @@ from llm.tables import in_batches, written
 CHUNK = 100_000
 
 
+def settled(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (each node's least known companion) after the links (a, b): the least node that each node reaches."""
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def forest(edges: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Edges (a, b) that connect the same nodes, as many as a chunk has nodes at most; edges are read twice."""
 
@@ -28,18 +43,7 @@ def forest(edges: DataFrame, chunk: int = CHUNK) -> DataFrame:
             return
         nodes, ends = np.unique(np.concatenate(parts), return_inverse=True)
         a, b = ends.reshape(-1, 2).T
-        label = np.arange(len(nodes))
-        while True:  # nodes are numbered in their order, so the least label is the least node
-            low = np.minimum(label[a], label[b])
-            new = label.copy()
-            np.minimum.at(new, a, low)
-            np.minimum.at(new, b, low)
-            np.minimum.at(new, label[a], low)
-            np.minimum.at(new, label[b], low)
-            new = new[new]
-            if (new == label).all():
-                break
-            label = new
+        label = settled(np.arange(len(nodes)), a, b)  # nodes are numbered in their order, so the least label is the least node
         at = np.flatnonzero(label != np.arange(len(nodes)))
         yield pa.RecordBatch.from_arrays([pa.array(nodes[at]), pa.array(nodes[label[at]])], names=["a", "b"])
 

@@ -99,12 +99,12 @@ def slices(array: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 30) -> It
         first = last
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, stops, word offsets by row) of the words; a word never crosses rows."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, stops, word offsets by row) of the words, which the bytes of ``space`` separate; a word never crosses rows."""
     n = len(data)
     if n == 0:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.zeros(len(offsets), dtype=np.int64)
-    solid = ~SPACE[data]
+    solid = ~space[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     cut = offsets[(offsets > 0) & (offsets < n)]

@@ -19,6 +19,10 @@ from llm.op08_exact_top_k import ORACLE_SQL as EXACT_TOP_K_SQL
 from llm.op08_exact_top_k import op8_exact_top_k
 from llm.op09_language import op9_language_id
 from llm.op10_byte_bpe import op10_byte_bpe
+from llm.op11_lexical_search import ORACLE_SQL as LEXICAL_SEARCH_SQL
+from llm.op11_lexical_search import op11_lexical_search
+from llm.op12_simhash import op12_simhash_near_dedup
+from llm.op13_conversation_repair import op13_conversation_repair
 
 
 QUERIES = (
@@ -32,6 +36,9 @@ QUERIES = (
     op8_exact_top_k,
     op9_language_id,
     op10_byte_bpe,
+    op11_lexical_search,
+    op12_simhash_near_dedup,
+    op13_conversation_repair,
 )
 
 
@@ -40,4 +47,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filters": URL_FILTERS_SQL, "op8_exact_top_k": EXACT_TOP_K_SQL}
+    return {"op6_url_filters": URL_FILTERS_SQL, "op8_exact_top_k": EXACT_TOP_K_SQL, "op11_lexical_search": LEXICAL_SEARCH_SQL}
