@@ -110,10 +110,10 @@ def to_html(walk: DataFrame) -> DataFrame:
 
 
 def to_tags(walk: DataFrame, location: str | None = None) -> DataFrame:
-    """(doc_id, text): every node in its tag, with its location tokens (column ``location``) first."""
+    """(doc_id, text): every node in its tag, with its location tokens (column ``location``) first; ``&``, ``<`` and ``>`` of texts as entities."""
     tag = F.when(F.col("label") == "section_header", F.concat(F.lit("section_header_level_"), F.col("level").cast("string"))).otherwise(_looked_up(TAGS, "text"))
     place = F.col(location) if location else F.lit("")
-    found = _wrapped(walk, F.concat(F.lit("<"), tag, F.lit(">"), place, "text"), F.concat(F.lit("</"), tag, F.lit(">\n")))
+    found = _wrapped(walk, F.concat(F.lit("<"), tag, F.lit(">"), place, html_escape(F.coalesce("text", F.lit("")))), F.concat(F.lit("</"), tag, F.lit(">\n")))
     return found.select("doc_id", F.concat(F.lit("<doctag>"), "text", F.lit("</doctag>")).alias("text"))
 
 
@@ -137,9 +137,31 @@ def from_json(documents: DataFrame, column: str = "json") -> DataFrame:
     return rows.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "node.*", F.col("node.label").isNotNull().alias("valid"))
 
 
+#: A tag with its location tokens and the text up to the next tag, or a closing tag.
+TAGGED = r"<(\w+)>((?:<loc_\d+>)*)([^<>]*)|</(\w+)>"
+
+
+def html_unescape(text: Column) -> Column:
+    return F.replace(F.replace(F.replace(text, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
+
+
 def from_tags(documents: DataFrame) -> DataFrame:
-    """(doc_id, pos, tag, location, text) of tagged texts (doc_id, text): a row for each innermost element, in order."""
-    pattern = r"<(\w+)>((?:<loc_\d+>)*)([^<>]+)</"
-    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    rows = documents.select("doc_id", F.posexplode(found).alias("pos", "m"))
-    return rows.select("doc_id", F.col("pos").cast("bigint").alias("pos"), *[F.regexp_extract("m", pattern, i).alias(n) for i, n in ((1, "tag"), (2, "location"), (3, "text"))])
+    """(doc_id, pos, parent_pos, depth, tag, location, text) of tagged texts (doc_id, text): a row for each element, in order.
+
+    Elements are paired by depth: the parent of one is the last one opened before it that is a level higher. The tag around
+    the document is left out; depth and pos count from 0. Text between a closing tag and the next one is layout.
+    """
+    found = F.regexp_extract_all("text", F.lit(TAGGED), F.lit(0))
+    rows = documents.select("doc_id", F.posexplode(found).alias("at", "m"))
+    part = lambda i: F.regexp_extract("m", TAGGED, i)
+    rows = rows.select("doc_id", "at", part(1).alias("tag"), part(2).alias("location"), part(3).alias("text"), part(4).alias("closed"))
+    rows = rows.where("tag <> 'doctag' and closed <> 'doctag' and tag not rlike '^loc_[0-9]+$'")
+    w = Window.partitionBy("doc_id").orderBy("at")
+    level = F.sum(F.when(F.col("closed") == "", 1).otherwise(-1)).over(w)
+    opened = rows.withColumn("depth", level - 1).where("closed = ''").withColumn("pos", F.row_number().over(w) - 1)
+    # each element as one that may be a parent, and as a child of the level above
+    both = opened.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("child"))
+    both = both.withColumn("key", F.col("depth") - F.col("child"))
+    parent = F.last(F.when(F.col("child") == 0, F.col("pos")), ignorenulls=True).over(Window.partitionBy("doc_id", "key").orderBy("at", F.desc("child")))
+    found = both.withColumn("parent_pos", parent).where("child = 1")
+    return found.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("parent_pos").cast("bigint").alias("parent_pos"), "depth", "tag", "location", html_unescape(F.col("text")).alias("text"))

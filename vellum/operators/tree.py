@@ -24,11 +24,16 @@ def build(items: DataFrame, captions: DataFrame, footnotes: DataFrame, merges: D
     a text (caption, footnote) of its page, merges a text (first) to the one that goes on (second). Linked texts
     leave the flow: captions and footnotes become children of their element, merged texts are joined, with
     the stretch of each part in ``spans``. List items that no other text parts share a list. Pages count from 1.
+    What is linked to an element that is linked itself stays in the flow, so that no text is lost.
     """
     keys = ["doc_id", "page_no", "cluster_id"]
     one = lambda df, target, own: df.select("doc_id", "page_no", F.col(target).alias("to"), F.col(own).alias("cluster_id"))
     merged = merges.select("doc_id", F.col("page_no").alias("to_page"), F.col("first").alias("to"), F.coalesce("next_page", "page_no").alias("page_no"), F.col("second").alias("cluster_id"))
     notes = one(captions, "target", "caption").withColumn("turn", F.lit(1)).unionByName(one(footnotes, "target", "footnote").withColumn("turn", F.lit(2)))
+    away = notes.select(*keys).unionByName(merged.select(*keys)).distinct()
+    away = away.select("doc_id", F.col("page_no").alias("to_page"), F.col("cluster_id").alias("to"))
+    merged = merged.join(away, ["doc_id", "to_page", "to"], "left_anti")
+    notes = notes.join(away.withColumnRenamed("to_page", "page_no"), ["doc_id", "page_no", "to"], "left_anti")
     linked = notes.select(*keys).unionByName(merged.select(*keys)).distinct()
     flow = items.join(linked, keys, "left_anti")
     order = Window.partitionBy("doc_id").orderBy("page_no", "pos", "cluster_id")
@@ -80,6 +85,14 @@ def walked(nodes: DataFrame) -> DataFrame:
     return out.select("doc_id", "parent_id", *more, (F.size("path") - 1).cast("bigint").alias("depth"), pos.cast("bigint").alias("pos"), "path", "lists")
 
 
+def unreached(nodes: DataFrame, walk: DataFrame) -> DataFrame:
+    """(doc_id, node_id, reason): nodes that the walk does not reach, since their parent is missing (``orphan``), or hang below such a node or in a cycle (``cut off``)."""
+    lost = nodes.join(walk.select("doc_id", "node_id"), ["doc_id", "node_id"], "left_anti")
+    known = nodes.select("doc_id", F.col("node_id").alias("parent_id"), F.lit(True).alias("known"))
+    reason = F.when(F.col("known"), "cut off").otherwise("orphan")
+    return lost.join(known, ["doc_id", "parent_id"], "left").select("doc_id", "node_id", reason.alias("reason"))
+
+
 def selected(walk: DataFrame, *, layers: list[str] | None = None, labels: list[str] | None = None, pages: list[int] | None = None, start: int = 0, stop: int | None = None) -> DataFrame:
     """Walked nodes of some layers, labels and pages, of those from ``start`` up to ``stop`` in order."""
     keep = F.col("pos") >= start

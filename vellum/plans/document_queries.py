@@ -29,7 +29,7 @@ def page_elements(spark: SparkSession, d: str) -> DataFrame:
 
 def _placed(spark: SparkSession, d: str) -> DataFrame:
     """Elements in the order of their number, which stands for a reading order that SQL can express."""
-    words = F.when(F.col("cluster_id") % 3 == 0, "it goes on and").otherwise("on it went.")
+    words = F.when(F.col("cluster_id") % 3 == 0, "it goes on and").when(F.col("cluster_id") % 3 == 1, "then goes on and").otherwise("on it went.")
     return view(spark, d, "d_elements").withColumn("pos", F.col("cluster_id")).withColumn("text", words)
 
 
@@ -50,7 +50,7 @@ def footnote_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def text_merge_candidates(spark: SparkSession, d: str) -> DataFrame:
-    items = _placed(spark, d).withColumn("label", F.when(F.col("cluster_id") % 2 == 0, "text").otherwise(F.col("label")))
+    items = _placed(spark, d).withColumn("label", F.when((F.col("cluster_id") % 2 == 0) | (F.col("doc_id") % 3 == 0), "text").otherwise(F.col("label")))
     return documents.merge_candidates(items)
 
 
@@ -169,7 +169,12 @@ def snapshot_hash(spark: SparkSession, d: str) -> DataFrame:
     return base(spark, d, "documents").select("doc_id", F.substring(F.sha2(body, 256), 1, 12).alias("snapshot"))
 
 
-_W = "CASE WHEN cluster_id % 3 = 0 THEN 'it goes on and' ELSE 'on it went.' END"
+_W = "CASE cluster_id % 3 WHEN 0 THEN 'it goes on and' WHEN 1 THEN 'then goes on and' ELSE 'on it went.' END"
+#: Pairs of texts that go on, every other one of a chain; {own} are the columns of a pair.
+_PAIRS = """(SELECT *, row_number() OVER (PARTITION BY doc_id, chain ORDER BY page_no, cluster_id) AS turn FROM (
+  SELECT *, sum(CASE WHEN pair THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY page_no, cluster_id) AS chain FROM (
+   SELECT *, coalesce(label = 'text' AND nl = 'text' AND regexp_matches(text, '^.+([a-z,\\-])(\\s*)$') AND regexp_matches(nt, '^(\\s*[a-z])(.+)$'), FALSE) AS pair FROM (
+    SELECT *, lead(page_no) OVER w AS np, lead(cluster_id) OVER w AS second, lead(label) OVER w AS nl, lead(text) OVER w AS nt FROM {items} WINDOW w AS (PARTITION BY doc_id ORDER BY page_no, cluster_id)) a) b) c WHERE pair) d WHERE turn % 2 = 1"""
 _HEADS = "heads AS (SELECT n.doc_id, n.node_id, n.label, n.text, " + ", ".join(
     f"max(CASE WHEN h.level = {k} THEN h.node_id END) AS p{k}" for k in (1, 2, 3)
 ) + " FROM d_nodes n LEFT JOIN d_nodes h ON h.doc_id = n.doc_id AND h.node_id < n.node_id AND h.label = 'section_header' GROUP BY 1, 2, 3, 4)"
@@ -199,9 +204,8 @@ SQL = {
  AND ((w.r > i.l AND i.r > w.l) OR (w.r > j.l AND j.r > w.l)) AND i.b + 0.001 > w.t AND w.b + 0.001 > j.t)""",
     "footnote_links": """WITH o AS (SELECT *, last_value(CASE WHEN label <> 'footnote' THEN cluster_id END IGNORE NULLS) OVER (PARTITION BY doc_id, page_no ORDER BY cluster_id) AS host FROM d_elements)
  SELECT o.doc_id, o.page_no, o.host AS target, o.cluster_id AS footnote FROM o JOIN d_elements h ON h.doc_id = o.doc_id AND h.page_no = o.page_no AND h.cluster_id = o.host WHERE o.label = 'footnote' AND h.label IN ('table', 'picture')""",
-    "text_merge_candidates": f"""WITH e AS (SELECT doc_id, page_no, cluster_id, CASE WHEN cluster_id % 2 = 0 THEN 'text' ELSE label END AS label, {_W} AS text FROM d_elements),
- n AS (SELECT *, lead(cluster_id) OVER w AS second, lead(label) OVER w AS nl, lead(text) OVER w AS nt FROM e WINDOW w AS (PARTITION BY doc_id ORDER BY page_no, cluster_id))
- SELECT doc_id, page_no, cluster_id AS first, second FROM n WHERE label = 'text' AND nl = 'text' AND regexp_matches(text, '^.+([a-z,\\-])(\\s*)$') AND regexp_matches(nt, '^(\\s*[a-z])(.+)$')""",
+    "text_merge_candidates": f"""WITH e AS (SELECT doc_id, page_no, cluster_id, CASE WHEN cluster_id % 2 = 0 OR doc_id % 3 = 0 THEN 'text' ELSE label END AS label, {_W} AS text FROM d_elements)
+ SELECT doc_id, page_no, cluster_id AS first, second FROM {_PAIRS.format(items="e")}""",
     "list_groups": """WITH e AS (SELECT doc_id, page_no, cluster_id, CASE WHEN cluster_id % 3 = 0 THEN 'list_item' ELSE label END AS label FROM d_elements), f AS (SELECT * FROM e WHERE label NOT IN ('table', 'picture', 'code')),
  s AS (SELECT *, CASE WHEN label = 'list_item' AND coalesce(lag(label) OVER (PARTITION BY doc_id ORDER BY page_no, cluster_id), '') <> 'list_item' THEN 1 ELSE 0 END AS st FROM f)
  SELECT doc_id, cluster_id, CAST(n AS BIGINT) AS list_id FROM (SELECT *, sum(st) OVER (PARTITION BY doc_id ORDER BY page_no, cluster_id) AS n FROM s) q WHERE label = 'list_item'""",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vellum.operators import chunking, documents, serialize, tree
-from vellum.plans.document_queries import _W
+from vellum.plans.document_queries import _PAIRS, _W
 from vellum.plans.fixtures import view
 
 
@@ -15,8 +15,8 @@ def _walk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def doc_tree_build(spark: SparkSession, d: str) -> DataFrame:
-    label = F.when((F.col("cluster_id") % 2 == 0) & ~F.col("label").isin("table", "picture"), "text").otherwise(F.col("label"))
-    items = view(spark, d, "d_elements").select("doc_id", "page_no", "cluster_id", label.alias("label"), F.col("cluster_id").alias("pos"), F.when(F.col("cluster_id") % 3 == 0, "it goes on and").otherwise("on it went.").alias("text"))
+    label = F.when(((F.col("cluster_id") % 2 == 0) | (F.col("doc_id") % 3 == 0)) & ~F.col("label").isin("table", "picture"), "text").otherwise(F.col("label"))
+    items = view(spark, d, "d_elements").select("doc_id", "page_no", "cluster_id", label.alias("label"), F.col("cluster_id").alias("pos"), F.when(F.col("cluster_id") % 3 == 0, "it goes on and").when(F.col("cluster_id") % 3 == 1, "then goes on and").otherwise("on it went.").alias("text"))
     w = Window.partitionBy("doc_id", "page_no").orderBy("pos")
     captions = items.select("doc_id", "page_no", "label", F.lag("cluster_id").over(w).alias("target"), F.lag("label").over(w).alias("kind"), F.col("cluster_id").alias("caption"))
     captions = captions.where("label = 'caption' and kind in ('table', 'picture')").select("doc_id", "page_no", "target", "caption")
@@ -94,6 +94,12 @@ def doctags_read(spark: SparkSession, d: str) -> DataFrame:
     return serialize.from_tags(_tags(spark, d))
 
 
+def doc_unreached(spark: SparkSession, d: str) -> DataFrame:
+    """Trees with missing parents and cycles."""
+    nodes = view(spark, d, "d_tree").withColumn("parent_id", F.expr(_BAD_PARENT))
+    return tree.unreached(nodes, tree.walked(nodes))
+
+
 def doctags_vocabulary(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(serialize.vocabulary())), "id bigint, token string")
 
@@ -138,14 +144,13 @@ def _wrap(opening: str, closing: str, after: str = "text") -> str:
 
 _HTML = "CASE label WHEN 'section_header' THEN 'h' || CAST(least(level + 1, 6) AS VARCHAR) WHEN 'title' THEN 'h1' WHEN 'list' THEN 'ul' WHEN 'ordered_list' THEN 'ol' WHEN 'list_item' THEN 'li' WHEN 'code' THEN 'pre' WHEN 'picture' THEN 'figure' WHEN 'formula' THEN 'div' ELSE 'p' END"
 _TAG = "CASE label WHEN 'section_header' THEN 'section_header_level_' || CAST(level AS VARCHAR) WHEN 'list' THEN 'unordered_list' ELSE label END"
-_TAGGED = _wrap(f"'<' || {_TAG} || '>' || '<loc_' || CAST(node_id * 7 % 500 AS VARCHAR) || '><loc_' || CAST(doc_id % 500 AS VARCHAR) || '>' || text", f"'</' || {_TAG} || '>' || chr(10)", "'<doctag>' || text || '</doctag>'")
+_TAGGED = _wrap(f"'<' || {_TAG} || '>' || '<loc_' || CAST(node_id * 7 % 500 AS VARCHAR) || '><loc_' || CAST(doc_id % 500 AS VARCHAR) || '>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')", f"'</' || {_TAG} || '>' || chr(10)", "'<doctag>' || text || '</doctag>'")
 _RANK = "CAST(row_number() OVER (PARTITION BY doc_id, parent_id ORDER BY {}) - 1 AS BIGINT) AS child_ix"
-_BUILD = f"""it AS (SELECT doc_id, page_no, cluster_id, CASE WHEN cluster_id % 2 = 0 AND label NOT IN ('table', 'picture') THEN 'text' ELSE label END AS label, cluster_id AS pos, {_W} AS text FROM d_elements),
+_BUILD = f"""it AS (SELECT doc_id, page_no, cluster_id, CASE WHEN (cluster_id % 2 = 0 OR doc_id % 3 = 0) AND label NOT IN ('table', 'picture') THEN 'text' ELSE label END AS label, cluster_id AS pos, {_W} AS text FROM d_elements),
  cap AS (SELECT doc_id, page_no, target, own FROM (SELECT doc_id, page_no, cluster_id AS own, label, lag(cluster_id) OVER w AS target, lag(label) OVER w AS kind FROM it WINDOW w AS (PARTITION BY doc_id, page_no ORDER BY pos)) c WHERE label = 'caption' AND kind IN ('table', 'picture')),
  nt AS (SELECT doc_id, page_no, cluster_id, label, last_value(CASE WHEN label <> 'footnote' THEN cluster_id END IGNORE NULLS) OVER (PARTITION BY doc_id, page_no ORDER BY pos) AS host FROM it),
  fn AS (SELECT n.doc_id, n.page_no, n.host AS target, n.cluster_id AS own FROM nt n JOIN it h ON h.doc_id = n.doc_id AND h.page_no = n.page_no AND h.cluster_id = n.host WHERE n.label = 'footnote' AND h.label IN ('table', 'picture')),
- mg AS (SELECT * FROM (SELECT doc_id, page_no, cluster_id AS target, label, text, lead(page_no) OVER w AS np, lead(cluster_id) OVER w AS own, lead(label) OVER w AS nl, lead(text) OVER w AS more FROM it WINDOW w AS (PARTITION BY doc_id ORDER BY page_no, pos)) m
-  WHERE label = 'text' AND nl = 'text' AND regexp_matches(text, '^.+([a-z,\\-])(\\s*)$') AND regexp_matches(more, '^(\\s*[a-z])(.+)$')),
+ mg AS (SELECT doc_id, page_no, cluster_id AS target, np, second AS own, nt AS more FROM {_PAIRS.format(items="it")}),
  sk AS (SELECT doc_id, page_no, own FROM cap UNION SELECT doc_id, page_no, own FROM fn UNION SELECT doc_id, np, own FROM mg),
  fl AS (SELECT i.*, row_number() OVER (PARTITION BY doc_id ORDER BY page_no, pos) AS place FROM it i WHERE NOT EXISTS (SELECT 1 FROM sk WHERE sk.doc_id = i.doc_id AND sk.page_no = i.page_no AND sk.own = i.cluster_id)),
  ls AS (SELECT *, sum(st) OVER (PARTITION BY doc_id ORDER BY place) AS list_id FROM (SELECT *, CASE WHEN label = 'list_item' AND coalesce(lag(label) OVER (PARTITION BY doc_id ORDER BY place), '') <> 'list_item' THEN 1 ELSE 0 END AS st FROM fl WHERE label NOT IN ('table', 'picture', 'code')) x),
@@ -163,6 +168,9 @@ _CHUNKS = f"""WITH RECURSIVE {_parts("w.text")}, hd AS (SELECT doc_id, pos, CASE
  hs AS (SELECT c.doc_id, c.pos, string_agg(h.text, ' > ' ORDER BY h.lv) AS headings FROM ch c JOIN hd h ON h.doc_id = c.doc_id AND h.pos < c.pos WHERE NOT EXISTS (SELECT 1 FROM hd x WHERE x.doc_id = c.doc_id AND x.pos > h.pos AND x.pos < c.pos AND x.lv <= h.lv) GROUP BY 1, 2)
  SELECT c.doc_id, CAST(row_number() OVER (PARTITION BY c.doc_id ORDER BY c.pos) - 1 AS BIGINT) AS chunk_id, coalesce(h.headings, '') AS headings, c.text, c.nodes FROM ch c LEFT JOIN hs h ON h.doc_id = c.doc_id AND h.pos = c.pos"""
 
+#: Every ninth node hangs on a node that is missing, every eleventh on its own child.
+_BAD_PARENT = "CASE WHEN (doc_id + node_id) % 9 = 4 THEN node_id + 1000 WHEN (doc_id + node_id) % 11 = 5 AND node_id > 0 THEN 3 * node_id + 1 ELSE parent_id END"
+
 SQL = {
     "doc_tree_build": f"WITH {_BUILD}",
     "doc_append_nodes": f"""WITH l AS (SELECT doc_id, max(node_id) AS m FROM d_tree GROUP BY 1), u AS (SELECT doc_id, node_id, parent_id, child_ix, label, text, 0 AS turn FROM d_tree UNION ALL SELECT t.doc_id, m + 1 + node_id, 0, node_id + 1, 'text', 'new ' || text, 1 FROM d_tree t JOIN l ON l.doc_id = t.doc_id WHERE node_id < 2)
@@ -172,8 +180,12 @@ SQL = {
     "doc_concat": f"""WITH l AS (SELECT doc_id, max(node_id) + 1 AS m FROM d_tree GROUP BY 1), u AS (SELECT doc_id, node_id, parent_id, child_ix, label, 0 AS turn FROM d_tree UNION ALL SELECT t.doc_id - 1, node_id + coalesce(m, 0), parent_id + coalesce(m, 0), child_ix, label, 1 FROM d_tree t LEFT JOIN l ON l.doc_id = t.doc_id - 1)
  SELECT doc_id, node_id, parent_id, {_RANK.format("turn, child_ix, node_id")}, label FROM u""",
     "doc_extract_range": f"WITH RECURSIVE {_WALK}, k AS (SELECT *, pos - 1 AS new_id FROM walk WHERE pos BETWEEN 1 AND 4) SELECT k.doc_id, k.node_id, k.new_id, p.new_id AS new_parent FROM k LEFT JOIN k p ON p.doc_id = k.doc_id AND p.node_id = k.parent_id",
-    "doc_delete_range": f"""WITH RECURSIVE {_WALK}, g AS (SELECT doc_id, list(node_id) AS gone FROM walk WHERE pos BETWEEN 2 AND 3 GROUP BY 1), k AS (SELECT w.*, CAST(row_number() OVER (PARTITION BY w.doc_id ORDER BY pos) - 1 AS BIGINT) AS new_id FROM walk w LEFT JOIN g ON g.doc_id = w.doc_id WHERE NOT coalesce(list_has_any(path, gone), FALSE))
+    "doc_delete_range": f"""WITH RECURSIVE {_WALK}, x AS (SELECT doc_id, node_id, unnest(path) AS above FROM walk), g AS (SELECT DISTINCT x.doc_id, x.node_id FROM x JOIN walk a ON a.doc_id = x.doc_id AND a.node_id = x.above WHERE a.pos BETWEEN 2 AND 3),
+ k AS (SELECT w.*, CAST(row_number() OVER (PARTITION BY w.doc_id ORDER BY pos) - 1 AS BIGINT) AS new_id FROM walk w ANTI JOIN g ON g.doc_id = w.doc_id AND g.node_id = w.node_id)
  SELECT k.doc_id, k.node_id, k.new_id, p.new_id AS new_parent FROM k LEFT JOIN k p ON p.doc_id = k.doc_id AND p.node_id = k.parent_id""",
+    "doc_unreached": f"""WITH RECURSIVE bad AS (SELECT doc_id, node_id, {_BAD_PARENT} AS parent_id FROM d_tree), up AS (SELECT doc_id, node_id, parent_id, 0 AS n FROM bad UNION ALL SELECT u.doc_id, u.node_id, b.parent_id, n + 1 FROM up u JOIN bad b ON b.doc_id = u.doc_id AND b.node_id = u.parent_id WHERE n < 9),
+ ok AS (SELECT DISTINCT doc_id, node_id FROM up WHERE parent_id IS NULL) SELECT b.doc_id, b.node_id, CASE WHEN EXISTS (SELECT 1 FROM bad p WHERE p.doc_id = b.doc_id AND p.node_id = b.parent_id) THEN 'cut off' ELSE 'orphan' END AS reason
+ FROM bad b ANTI JOIN ok ON ok.doc_id = b.doc_id AND ok.node_id = b.node_id""",
     "doc_selected_items": f"WITH RECURSIVE {_WALK} SELECT doc_id, node_id, pos FROM walk WHERE layer = 'body' AND label IN ('text', 'list_item', 'code', 'title') AND page_no IN (1, 2) AND pos >= 1 AND pos < 5",
     "doc_markdown": f"WITH RECURSIVE {_parts(_ESCAPED)}, g AS ({_GAPS.format(k='doc_id')}) SELECT doc_id, {_TEXT} FROM g GROUP BY 1",
     "doc_plain_text": f"WITH RECURSIVE {_WALK} SELECT doc_id, string_agg(text, chr(10) || chr(10) ORDER BY pos) AS text FROM walk WHERE text <> '' AND label NOT IN ('list', 'ordered_list', 'picture') GROUP BY 1",
@@ -184,13 +196,14 @@ SQL = {
  || CASE WHEN label = 'section_header' THEN ',"level":' || CAST(level AS VARCHAR) ELSE '' END || ',"text":"' || text || '"}}', ',' ORDER BY pos) || ']}}' AS json FROM walk GROUP BY 1""",
     "doc_json_read": f"""WITH RECURSIVE {_WALK} SELECT doc_id, pos, node_id, parent_id, label, layer, CASE WHEN label = 'section_header' THEN level END AS level, text, TRUE AS valid FROM walk WHERE doc_id % 10 <> 0
  UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, FALSE FROM (SELECT DISTINCT doc_id FROM d_tree WHERE doc_id % 10 = 0) b""",
-    "doctags_read": f"""WITH RECURSIVE {_TAGGED}, m AS (SELECT doc_id, regexp_extract_all(text, '<(\\w+)>((?:<loc_\\d+>)*)([^<>]+)</') AS ms FROM done), e AS (SELECT doc_id, unnest(ms) AS m, unnest(range(len(ms))) AS pos FROM m)
- SELECT doc_id, CAST(pos AS BIGINT) AS pos, regexp_extract(m, '<(\\w+)>((?:<loc_\\d+>)*)([^<>]+)</', 1) AS tag, regexp_extract(m, '<(\\w+)>((?:<loc_\\d+>)*)([^<>]+)</', 2) AS location, regexp_extract(m, '<(\\w+)>((?:<loc_\\d+>)*)([^<>]+)</', 3) AS text FROM e""",
+    "doctags_read": f"""WITH RECURSIVE {_WALK}, deep_walk AS (SELECT walk.*, CAST(len(path) - 1 AS BIGINT) AS deep FROM walk)
+ SELECT a.doc_id, a.pos, p.pos AS parent_pos, a.deep AS depth, {_TAG.replace("label", "a.label").replace("level", "a.level").replace("section_header_a.level_", "section_header_level_")} AS tag, '<loc_' || CAST(a.node_id * 7 % 500 AS VARCHAR) || '><loc_' || CAST(a.doc_id % 500 AS VARCHAR) || '>' AS location, a.text
+ FROM deep_walk a LEFT JOIN walk p ON p.doc_id = a.doc_id AND p.node_id = a.parent_id""",
     "chunk_hierarchical": _CHUNKS,
     "chunk_by_page": f"WITH RECURSIVE {_parts(_ESCAPED)}, g AS ({_GAPS.format(k='doc_id, page_no')}) SELECT doc_id, page_no, {_TEXT} FROM g GROUP BY 1, 2",
 }
 
 QUERIES = (
     doc_tree_build, doc_append_nodes, doc_insert_nodes, doc_concat, doc_extract_range, doc_delete_range, doc_selected_items, doc_markdown, doc_plain_text, doc_outline, doc_html, doc_doctags,
-    doc_json, doc_json_read, doctags_read, doctags_vocabulary, chunk_hierarchical, chunk_by_page, chunk_hybrid_tree,
+    doc_json, doc_json_read, doctags_read, doc_unreached, doctags_vocabulary, chunk_hierarchical, chunk_by_page, chunk_hybrid_tree,
 )
