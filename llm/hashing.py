@@ -2,8 +2,9 @@
 
 Everything works on flat byte buffers cut into slices of half a megabyte, so that a task's
 memory is bounded by one slice, or by the longest single document where that is longer.
-Hashes are polynomials modulo 2**64 with an odd base; a prefix sum gives the hash of any
-range in constant time, because an odd base has an inverse.
+Hashes of ranges are polynomials modulo 2**64 with an odd base; a prefix sum gives the hash of any
+range in constant time, because an odd base has an inverse. They are used for ranges of under 512 values, too
+short for two periodic strings to have one hash by construction; words, of any length, are hashed otherwise.
 """
 
 from __future__ import annotations
@@ -117,9 +118,18 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, word offsets by row)."""
+    """(hash of each word, word offsets by row).
+
+    Each byte counts with its place in the word, mixed; a polynomial would not do, since words of a
+    thousand bytes can be built that have one hash modulo 2**64 whatever its base is.
+    """
     starts, stops, rows = word_spans(data, offsets)
-    return mix(ranges(prefix(data), starts, stops)), rows
+    lengths = stops - starts
+    at = np.concatenate([[0], np.cumsum(lengths)])
+    place = np.arange(at[-1], dtype=np.uint64) - np.repeat(at[:-1], lengths).astype(np.uint64)
+    sums = np.zeros(at[-1] + 1, dtype=np.uint64)
+    np.cumsum(mix((place << np.uint64(8) | data[~SPACE[data]]) + np.uint64(BASE)), out=sums[1:])
+    return mix(sums[at[1:]] - sums[at[:-1]]), rows
 
 
 def assigned(hashes: np.ndarray, width: int, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

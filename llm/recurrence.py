@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from llm.tables import drop, fresh, in_batches, written
 
@@ -21,10 +22,18 @@ SPAN = "doc_id bigint, row bigint, start int, stop int"
 PIECE = "fp bigint, kinds bigint, doc_id bigint, row bigint, start int, n int, words binary"
 
 
+def row_key(documents: DataFrame, text: str = "text") -> Column:
+    """What stands for a document: a hash of its id, of any integer type, and its text, null counting as empty."""
+    kind = documents.schema["doc_id"].dataType
+    if not isinstance(kind, T.IntegralType | T.NullType):
+        raise TypeError(f"doc_id has to be of an integer type, not {kind.simpleString()}")
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col(text), F.lit("")))
+
+
 def keyed(documents: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, row, text) of the documents; a null text is empty."""
+    """(doc_id, row, text) of the documents; a null text is empty. Ids of another than an integer type raise TypeError."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("doc_id", body).alias("row"), body.alias("text"))
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key(documents, text).alias("row"), body.alias("text"))
 
 
 def recurring(found: DataFrame, recurs: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -96,5 +105,4 @@ def with_spans(documents: DataFrame, spans: DataFrame, name: str, text: str = "t
     """``documents`` with its spans (start, stop) as column ``name``, null if it has none."""
     key = fresh(documents, "row")
     lists = spans.groupBy(F.col("row").alias(key)).agg(F.collect_list(F.struct("start", "stop")).alias(name))
-    row = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col(text), F.lit("")))
-    return documents.withColumn(key, row).join(lists, key, "left").drop(key)
+    return documents.withColumn(key, row_key(documents, text)).join(lists, key, "left").drop(key)
