@@ -44,16 +44,18 @@ def plain_model(rows):
             return 0.0
         return -(z[b] - math.copysign(q.L1, z[b])) / ((q.BETA + math.sqrt(n[b])) / q.ALPHA + q.L2)
 
+    share = Counter(y for _, y in rows)
     for _ in range(q.EPOCHS):
         for x, y in rows:
             w = {b: weight(b) for b in x}
             p = 1 / (1 + math.exp(-(sum(w[b] * v for b, v in x.items()) + bias)))
+            slope = (p - y) * (len(rows) / (2 * share[y])) ** q.LEVEL
             for b, v in x.items():
-                g = (p - y) * v
+                g = slope * v
                 z[b] += g - (math.sqrt(n[b] + g * g) - math.sqrt(n[b])) / q.ALPHA * w[b]
                 n[b] += g * g
-            bias_n += (p - y) ** 2
-            bias -= q.ALPHA * (p - y) / (q.BETA + math.sqrt(bias_n))
+            bias_n += slope**2
+            bias -= q.ALPHA * slope / (q.BETA + math.sqrt(bias_n))
     return {b: weight(b) for b in z}, bias
 
 
@@ -74,6 +76,13 @@ def test_quality_scores_are_those_of_a_plain_loop(spark, tmp_path):
         assert r.predicted == (r.score >= 0.5) and r.held_out == left_out(r.doc_id, 3, 1)
 
 
+def test_both_qualities_are_found_in_held_out_rows(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality is not null").select("doc_id", "quality")
+    found = op05_quality.op5_quality_classifier(spark, "/root/testdata/sf0.01").where("held_out").join(labels, "doc_id").groupBy("quality").agg(F.avg((F.col("predicted") == F.col("quality")).cast("double")).alias("right"))
+    right = {r.quality: r.right for r in found.collect()}
+    assert right[0] > 0.9 and right[1] == 1
+
+
 def plain_trigrams(text):
     fold = bytes(b if b > 127 else b | 32 if chr(b).isalpha() else 32 for b in (text or "").encode())
     fold = b" " + fold + b" "
