@@ -18,24 +18,27 @@ BEFORE, AFTER, WHOLE = 10, 9, 0.75
 REGIONS = "page_id bigint, region bigint, l bigint, t bigint, r bigint, b bigint, pixels bigint"
 
 
-def covered(boxes: np.ndarray, width: int, height: int) -> np.ndarray:
-    """The raster (height, width) of boxes (l, t, r, b), both ends included, grown and cut at the page."""
-    edges = np.zeros((height + 1, width + 1), dtype=np.int32)
+def covered(boxes: np.ndarray, width: int, height: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(mask, column edges, row edges) of boxes (l, t, r, b), both ends included, grown and cut at the page.
+
+    The raster is that of the page, with lines and columns between which nothing begins or ends taken together.
+    """
     l, t, r, b = boxes.T  # noqa: E741
     seen = (l <= r) & (t <= b) & (r >= 0) & (b >= 0) & (l < width) & (t < height)
-    l, t = np.maximum(l[seen], 0), np.maximum(t[seen], 0)  # noqa: E741
-    r, b = np.minimum(r[seen], width - 1), np.minimum(b[seen], height - 1)
-    l, t = np.maximum(l - BEFORE, 0), np.maximum(t - BEFORE, 0)  # noqa: E741
-    r, b = np.minimum(r + AFTER, width - 1) + 1, np.minimum(b + AFTER, height - 1) + 1
+    l, t = np.maximum(np.maximum(l[seen], 0) - BEFORE, 0), np.maximum(np.maximum(t[seen], 0) - BEFORE, 0)  # noqa: E741
+    r, b = np.minimum(np.minimum(r[seen], width - 1) + AFTER, width - 1) + 1, np.minimum(np.minimum(b[seen], height - 1) + AFTER, height - 1) + 1
+    across, down = np.unique(np.concatenate([l, r])), np.unique(np.concatenate([t, b]))
+    edges = np.zeros((len(down), len(across)), dtype=np.int32)
+    l, r, t, b = (np.searchsorted(e, v) for e, v in ((across, l), (across, r), (down, t), (down, b)))  # noqa: E741
     for rows, columns, n in ((t, l, 1), (t, r, -1), (b, l, -1), (b, r, 1)):
         np.add.at(edges, (rows, columns), n)
-    return edges.cumsum(axis=0).cumsum(axis=1)[:height, :width] > 0
+    return edges.cumsum(axis=0).cumsum(axis=1)[:-1, :-1] > 0, across, down
 
 
-def regions(mask: np.ndarray) -> list[tuple]:
+def regions(mask: np.ndarray, across: np.ndarray, down: np.ndarray) -> list[tuple]:
     """(region, l, t, r, b, pixels) of the connected parts of a raster, in the order of their first pixels.
 
-    Runs of pixels in a row are linked with those that they touch in the row above; labels spread over the links until they settle.
+    Runs of cells in a row are linked with those that they touch in the row above; labels spread over the links until they settle.
     """
     height, width = mask.shape
     padded = np.zeros((height, width + 2), dtype=np.int8)
@@ -61,9 +64,11 @@ def regions(mask: np.ndarray) -> list[tuple]:
         if (new == label).all():
             break
         label = new
+    left, right, top, bottom = across[start], across[stop] - 1, down[row], down[row + 1] - 1
+    pixels = (right - left + 1) * (bottom - top + 1)
     names, own = np.unique(label, return_inverse=True)
     out = [np.arange(len(names))]
-    for values, pick in ((start, np.minimum), (row, np.minimum), (stop - 1, np.maximum), (row, np.maximum), (stop - start, np.add)):
+    for values, pick in ((left, np.minimum), (top, np.minimum), (right, np.maximum), (bottom, np.maximum), (pixels, np.add)):
         found = np.full(len(names), {np.minimum: 1 << 60, np.maximum: -1, np.add: 0}[pick])
         pick.at(found, own, values)
         out.append(found)
@@ -77,7 +82,7 @@ def bitmap_regions(rectangles: DataFrame, pages: DataFrame) -> DataFrame:
     def page(part: pd.DataFrame) -> list[tuple]:
         width, height = (round(float(part[c].iloc[0])) for c in ("width", "height"))
         boxes = np.rint(part[list("ltrb")].to_numpy()).astype(np.int64)
-        return regions(covered(boxes, width, height))
+        return regions(*covered(boxes, width, height))
 
     return each_group(rows, ["page_id"], list("ltrb"), page, REGIONS)
 

@@ -102,18 +102,25 @@ def html_escape(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
+def _inner(walk: DataFrame, text: Column) -> Column:
+    """What a node holds: its ``content`` if the walk has such a column and it is not null, else the text."""
+    return F.coalesce("content", text) if "content" in walk.columns else text
+
+
 def to_html(walk: DataFrame) -> DataFrame:
-    """(doc_id, text): nested elements; headings under their level, lists around their items."""
+    """(doc_id, text): nested elements; headings under their level, lists around their items, tables with a ``content`` as such."""
     heading = F.concat(F.lit("h"), F.least(F.col("level") + 1, F.lit(6)).cast("string"))
     tag = F.when(F.col("label") == "section_header", heading).otherwise(_looked_up(HTML, "p"))
-    return _wrapped(walk, F.concat(F.lit("<"), tag, F.lit(">"), html_escape(F.col("text"))), F.concat(F.lit("</"), tag, F.lit(">")))
+    if "content" in walk.columns:
+        tag = F.when((F.col("label") == "table") & F.col("content").isNotNull(), "table").otherwise(tag)
+    return _wrapped(walk, F.concat(F.lit("<"), tag, F.lit(">"), _inner(walk, html_escape(F.col("text")))), F.concat(F.lit("</"), tag, F.lit(">")))
 
 
 def to_tags(walk: DataFrame, location: str | None = None) -> DataFrame:
     """(doc_id, text): every node in its tag, with its location tokens (column ``location``) first; ``&``, ``<`` and ``>`` of texts as entities."""
     tag = F.when(F.col("label") == "section_header", F.concat(F.lit("section_header_level_"), F.col("level").cast("string"))).otherwise(_looked_up(TAGS, "text"))
     place = F.col(location) if location else F.lit("")
-    found = _wrapped(walk, F.concat(F.lit("<"), tag, F.lit(">"), place, html_escape(F.coalesce("text", F.lit("")))), F.concat(F.lit("</"), tag, F.lit(">\n")))
+    found = _wrapped(walk, F.concat(F.lit("<"), tag, F.lit(">"), place, _inner(walk, html_escape(F.coalesce("text", F.lit(""))))), F.concat(F.lit("</"), tag, F.lit(">\n")))
     return found.select("doc_id", F.concat(F.lit("<doctag>"), "text", F.lit("</doctag>")).alias("text"))
 
 
@@ -137,8 +144,10 @@ def from_json(documents: DataFrame, column: str = "json") -> DataFrame:
     return rows.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "node.*", F.col("node.label").isNotNull().alias("valid"))
 
 
-#: A tag with its location tokens and the text up to the next tag, or a closing tag.
-TAGGED = r"<(\w+)>((?:<loc_\d+>)*)([^<>]*)|</(\w+)>"
+#: Tokens of the structure of tables, which are not closed.
+OTSL = "fcel|ecel|lcel|ucel|xcel|nl|ched|rhed|srow"
+#: A tag with its location tokens and the text, structure tokens included, up to the next tag, or a closing tag.
+TAGGED = rf"<(?!(?:{OTSL})>)(\w+)>((?:<loc_\d+>)*)((?:[^<>]|<(?:{OTSL})>)*+)|</(\w+)>"
 
 
 def html_unescape(text: Column) -> Column:
@@ -149,7 +158,8 @@ def from_tags(documents: DataFrame) -> DataFrame:
     """(doc_id, pos, parent_pos, depth, tag, location, text) of tagged texts (doc_id, text): a row for each element, in order.
 
     Elements are paired by depth: the parent of one is the last one opened before it that is a level higher. The tag around
-    the document is left out; depth and pos count from 0. Text between a closing tag and the next one is layout.
+    the document is left out; depth and pos count from 0. Text between a closing tag and the next one is layout. A table's
+    text is its structure tokens as they are written (``table_contents.from_otsl``).
     """
     found = F.regexp_extract_all("text", F.lit(TAGGED), F.lit(0))
     rows = documents.select("doc_id", F.posexplode(found).alias("at", "m"))
@@ -164,4 +174,4 @@ def from_tags(documents: DataFrame) -> DataFrame:
     both = both.withColumn("key", F.col("depth") - F.col("child"))
     parent = F.last(F.when(F.col("child") == 0, F.col("pos")), ignorenulls=True).over(Window.partitionBy("doc_id", "key").orderBy("at", F.desc("child")))
     found = both.withColumn("parent_pos", parent).where("child = 1")
-    return found.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("parent_pos").cast("bigint").alias("parent_pos"), "depth", "tag", "location", html_unescape(F.col("text")).alias("text"))
+    return found.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("parent_pos").cast("bigint").alias("parent_pos"), "depth", "tag", "location", F.when(F.col("text").rlike(f"<({OTSL})>"), F.col("text")).otherwise(html_unescape(F.col("text"))).alias("text"))
