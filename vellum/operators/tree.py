@@ -129,6 +129,30 @@ def inserted(nodes: DataFrame, new: DataFrame) -> DataFrame:
     return _ranked(both, "child_ix", "turn", "node_id").select(*nodes.columns)
 
 
+def with_lists(nodes: DataFrame, walk: DataFrame) -> DataFrame:
+    """``nodes`` with list items that no list holds put into new lists, each right before its first item; what hangs on an item stays with it.
+
+    Items that follow each other in the walk share a list if the one before hangs on no node. Children are numbered anew.
+    """
+    above = walk.select("doc_id", F.col("node_id").alias("parent_id"), F.col("label").alias("above"))
+    order = Window.partitionBy("doc_id").orderBy("pos")
+    item = F.col("label") == "list_item"
+    goes_on = F.coalesce(F.lag(item & F.col("parent_id").isNull()).over(order), F.lit(False))
+    rows = walk.withColumn("goes_on", goes_on).where(item).join(above, ["doc_id", "parent_id"], "left").where(~F.coalesce(F.col("above").isin(LISTS), F.lit(False)))
+    rows = rows.withColumn("list", F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).over(order))
+    first = F.first(F.struct("node_id", "parent_id", "child_ix", "pos")).over(Window.partitionBy("doc_id", "list").orderBy("pos"))
+    rows = rows.select("doc_id", "node_id", "list", "pos", first.alias("first"))
+    last = nodes.groupBy("doc_id").agg(F.max("node_id").alias("last"))
+    rows = rows.join(last, "doc_id").withColumn("list_id", F.col("last") + F.col("list"))
+    moved = rows.select("doc_id", "node_id", "list_id", F.col("pos").alias("at"))
+    kept = nodes.join(moved, ["doc_id", "node_id"], "left").withColumns({"parent_id": F.coalesce("list_id", "parent_id"), "child_ix": F.coalesce("at", "child_ix"), "turn": F.lit(0)})
+    lists = rows.where(F.col("node_id") == F.col("first.node_id")).join(nodes.drop("parent_id", "child_ix", "label"), ["doc_id", "node_id"])
+    own = {"node_id": F.col("list_id"), "parent_id": F.col("first.parent_id"), "child_ix": F.col("first.child_ix"), "label": F.lit("list"), "turn": F.lit(-1)}
+    own |= {"text": F.lit("")} if "text" in nodes.columns else {}
+    both = kept.select(*nodes.columns, "turn").unionByName(lists.withColumns(own).select(*nodes.columns, "turn"))
+    return _ranked(both, "child_ix", "turn", "node_id").select(*nodes.columns)
+
+
 def joined(first: DataFrame, second: DataFrame) -> DataFrame:
     """The nodes of two documents of one doc_id as one, the second after the first."""
     shift = first.groupBy("doc_id").agg((F.max("node_id") + 1).alias("shift"))
