@@ -259,6 +259,48 @@ def refined(clusters: DataFrame, cells: DataFrame, assigned: DataFrame, rounds:
     return clusters, assigned
 
 
+def _settled_apart(clusters: DataFrame, labels: list[str], kind: str) -> tuple[DataFrame, DataFrame]:
+    """(groups' other members and their best one, as (page_id, cluster_id, best)), of clusters of some labels that overlap; and the clusters that stay."""
+    own = clusters.where(F.col("label").isin(labels))
+    groups = components(overlap_edges(own))
+    best = best_of_groups(own, groups, kind).withColumnRenamed("cluster_id", "best")
+    moves = settled(groups.join(best, ["page_id", "component"]).where("node <> best").select("page_id", F.col("node").alias("cluster_id"), "best"))
+    return moves, own.join(moves, ["page_id", "cluster_id"], "left_anti")
+
+
+def postprocessed(clusters: DataFrame, cells: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(clusters, children (page_id, special_id, child_id), cells (page_id, cluster_id, cell_ix)) of predicted clusters.
+
+    Regular clusters of enough confidence get cells; empty ones go, cells that none covers become texts, and what overlaps is refined. Special
+    ones then take the regular ones that lie in them as children, with their cells; forms and key-value regions get the box around them.
+    Pictures and wrappers that overlap are settled apart, each among its kind, the best one taking the others' cells. Regular clusters
+    in a special one that stays are its children alone.
+    """
+    sure = confident(clusters)
+    is_special = F.col("label").isin(SPECIAL)
+    regular = sure.where(~is_special)
+    assigned = assign_cells(cells, regular).select("page_id", "cell_ix", "cluster_id")
+    regular = regular.join(empty(regular, assigned).select("page_id", "cluster_id"), ["page_id", "cluster_id"], "left_anti")
+    lost = settled(orphans(cells, clusters, assigned))
+    names = ["page_id", "cluster_id", "label", "confidence", *"ltrb"]
+    regular = regular.select(*names).unionByName(lost.withColumn("confidence", F.lit(1.0)).select(*names))
+    assigned = assigned.unionByName(lost.select("page_id", "cell_ix", "cluster_id"))
+    regular, assigned = refined(regular, cells, assigned)
+    regular, assigned = settled(regular), settled(assigned)
+    special = without_full_page_pictures(without_doubled_wrappers(sure.where(is_special).select(*names).unionByName(regular)).where(is_special), pages)
+    children = settled(children_of_special(special.unionByName(regular)))
+    special = settled(around_children(special.unionByName(regular)).where(is_special))
+    parts = [_settled_apart(special, labels, kind) for labels, kind in ((["picture"], "picture"), (WRAPPERS, "wrapper"))]
+    moves = parts[0][0].unionByName(parts[1][0])
+    stay = settled(parts[0][1].unionByName(parts[1][1]))
+    held = children.join(assigned.withColumnRenamed("cluster_id", "child_id"), ["page_id", "child_id"]).select("page_id", F.col("special_id").alias("cluster_id"), "cell_ix")
+    held = held.join(moves, ["page_id", "cluster_id"], "left").select("page_id", F.coalesce("best", "cluster_id").alias("cluster_id"), "cell_ix").distinct()
+    children = children.join(stay.select("page_id", F.col("cluster_id").alias("special_id")), ["page_id", "special_id"], "left_semi")
+    inside = children.select("page_id", F.col("child_id").alias("cluster_id")).distinct()
+    out = stay.select(*names).unionByName(regular.join(inside, ["page_id", "cluster_id"], "left_anti").select(*names))
+    return out, children, assigned.select("page_id", "cluster_id", "cell_ix").unionByName(held)
+
+
 def first_cells(cells: DataFrame, more: DataFrame) -> DataFrame:
     """Both sets of cells, one for each index: that of ``cells`` goes before one of ``more``."""
     both = cells.withColumn("turn", F.lit(0)).unionByName(more.withColumn("turn", F.lit(1)))
