@@ -12,7 +12,13 @@ no reason to reject:
   and text count as one; rows with a null doc_id stay (op. 7, whose query has 4 words and 0.85);
 - substring: words under 50-word windows of smaller documents go; a document that loses none keeps
   its text as it is, one that loses all stays with an empty text (op. 2);
-- packing: documents are tokenised and packed into sequences of 2048 (op. 3).
+- packing: documents are tokenised and packed into sequences of 2048 (op. 3); it returns pieces with their place, and no other column.
+
+Defined cases: a null or empty text is scored by the intercept of the quality model, goes at the language stage, and is an empty
+document for the others; texts are read whole, however long; a null doc_id stays in all stages, and takes no part in links and windows; rows that
+repeat are judged alike, and of equal rows of one doc_id one stays; two near texts under one doc_id both stay, as each is the
+smallest of its group; columns named like what a stage makes keep their own values, since stages pass on the columns of docs;
+ids have to be integers; an empty table gives an empty table.
 """
 
 from __future__ import annotations
