@@ -27,12 +27,13 @@ def build(items: DataFrame, captions: DataFrame, footnotes: DataFrame, merges: D
     What is linked to an element that is linked itself stays in the flow, so that no text is lost.
     """
     keys = ["doc_id", "page_no", "cluster_id"]
+    items = settled(items)  # read by all that follows
     one = lambda df, target, own: df.select("doc_id", "page_no", F.col(target).alias("to"), F.col(own).alias("cluster_id"))
     merged = merges.select("doc_id", F.col("page_no").alias("to_page"), F.col("first").alias("to"), F.coalesce("next_page", "page_no").alias("page_no"), F.col("second").alias("cluster_id"))
     notes = one(captions, "target", "caption").withColumn("turn", F.lit(1)).unionByName(one(footnotes, "target", "footnote").withColumn("turn", F.lit(2)))
     away = notes.select(*keys).unionByName(merged.select(*keys)).distinct()
     away = away.select("doc_id", F.col("page_no").alias("to_page"), F.col("cluster_id").alias("to"))
-    merged = merged.join(away, ["doc_id", "to_page", "to"], "left_anti")
+    merged = settled(merged.join(away, ["doc_id", "to_page", "to"], "left_anti"))
     notes = notes.join(away.withColumnRenamed("to_page", "page_no"), ["doc_id", "page_no", "to"], "left_anti")
     linked = notes.select(*keys).unionByName(merged.select(*keys)).distinct()
     flow = items.join(linked, keys, "left_anti")
@@ -61,7 +62,7 @@ def build(items: DataFrame, captions: DataFrame, footnotes: DataFrame, merges: D
     nodes = own.select(*columns).unionByName(groups.select(*columns)).unionByName(below.select(*columns))
     kind = F.when(F.col("label").isin("list", *CONTAINER_LABELS), "groups").when(F.col("label").isin(TABLE_LABELS), "tables").when(F.col("label") == "picture", "pictures").otherwise("texts")
     number = F.row_number().over(Window.partitionBy("doc_id", kind).orderBy("at", "turn", "k")) - 1
-    nodes = nodes.withColumn("ref", F.concat(F.lit("#/"), kind, F.lit("/"), number.cast("string")))
+    nodes = settled(nodes.withColumn("ref", F.concat(F.lit("#/"), kind, F.lit("/"), number.cast("string"))))
     heads = nodes.where("turn = -1").select("doc_id", "group", F.col("ref").alias("list_ref"))
     hosts = nodes.where("turn = 0").select("doc_id", F.col("at").cast("bigint").alias("of"), F.col("ref").alias("host_ref"))
     nodes = nodes.join(heads, ["doc_id", "group"], "left").join(hosts, ["doc_id", "of"], "left")
