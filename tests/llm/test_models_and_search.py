@@ -31,6 +31,19 @@ def test_encoding_by_pieces_is_the_same_as_whole(name, spaced, monkeypatch):
     assert found[-1] == b""
 
 
+def test_missing_words_are_encoded_in_lines(monkeypatch):
+    words = [f"w{'abcdefghij'[i % 10]}{'xyz'[i % 3] * (i % 7)}q{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(2000)]
+    one, plain, handed = vocab.Encoder(public_path("word_bpe_49k.json"), False), vocab.packed, []
+    monkeypatch.setattr(vocab, "packed", lambda tokenizer, texts: handed.extend(texts) or plain(tokenizer, texts))
+    found = one.encode(pa.array([" ".join(words), " ".join(words[::-1])]))
+    assert found == plain(one.tokenizer, [" ".join(words), " ".join(words[::-1])])
+    assert len(set(words)) > 500 and len(handed) <= len(set(words)) // vocab.LINE + 1
+    # without tokens that end words, pieces are encoded one by one
+    other = vocab.Encoder(public_path("word_bpe_49k.json"), False)
+    other.ends[:] = False
+    assert other.encode(pa.array([" ".join(words)])) == found[:1]
+
+
 def test_byte_bpe_matches_the_ranks_and_decodes(spark):
     import public_tokenizers
     import tiktoken
