@@ -13,7 +13,10 @@ goes if a window over it also starts in a document with a smaller doc_id.
    that recur there are confirmed, compiled into an Aho-Corasick automaton over words, and every
    piece is streamed through it; each hit on a window from a smaller doc_id goes, at every place
    where the first document has the piece.
-   An anchor with over ``HOT`` pieces is confirmed by a distributed count first, and its pieces are
+   An anchor with over ``HOT`` pieces is confirmed by a distributed count first: sorted by the words
+   after their anchor, and by those before it, pieces lie beside the ones with which they have most in
+   common, so all windows that reach farther are in one piece alone; what is left of the pieces
+   is mostly equal, and its windows are counted once for each different text. The pieces are
    dealt by a salt, each salt with the confirmed windows; no limit drops anything.
 
 Defined cases: a null or empty text has no words; documents of under WINDOW words lose nothing and
@@ -24,7 +27,8 @@ an empty table has no rows; columns named like the outputs are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -115,7 +119,86 @@ def located(texts: list[bytes], docs: np.ndarray, patterns: list[tuple[tuple[int
     return out
 
 
-def locate(pieces: DataFrame, window: int, hot: int, shard: int) -> DataFrame:
+def beside(batch: pa.RecordBatch, anchor: int) -> list[int]:
+    """The word that each piece's anchor (``fp``) begins at."""
+    out: list[int] = []
+    fp = batch.column("fp").to_numpy()
+    for first, last, data, offsets in slices(batch.column("words")):
+        words, rows = word_hashes(data, offsets)
+        phrases = mix(windows(prefix(words), anchor)).view(np.int64)
+        own = np.repeat(np.arange(first, last), np.diff(rows))[: len(phrases)]
+        hits = np.flatnonzero(phrases == fp[own])
+        _, leftmost = np.unique(own[hits], return_index=True)
+        out += (hits[leftmost] - rows[:-1]).tolist()
+    return out
+
+
+def most_shared(pieces: DataFrame, most: int, then: Callable[[dict, int], dict | None], schema: str) -> DataFrame:
+    """What ``then`` makes of each piece and of how many words of ``beside`` it has in common with another piece of its anchor.
+
+    A piece at the edge of a partition, whose neighbour is not seen, counts as having ``most``.
+    """
+    # a salt parts pieces that are alike, so that a partition holds no whole group
+    dealt = pieces.repartitionByRange("fp", "beside", F.xxhash64("row", "start")).sortWithinPartitions("fp", "beside")
+    types = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    to = [(name, types[kind]) for name, kind in map(str.split, schema.split(", "))]
+
+    def shared(a: dict, b: dict) -> int:
+        return os.path.commonprefix([a["beside"], b["beside"]]).count(b" ") if a["fp"] == b["fp"] else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, before = None, most
+        arrow = pa.schema(to)
+        for batch in batches:
+            out = []
+            for piece in batch.to_pylist():
+                after = most if last is None else shared(last, piece)
+                if last is not None:
+                    out.append(then(last, max(before, after)))
+                last, before = piece, after
+            yield pa.RecordBatch.from_pylist([x for x in out if x], arrow)
+        if last is not None:
+            yield pa.RecordBatch.from_pylist([x for x in [then(last, most)] if x], arrow)
+
+    return in_batches(dealt, run, schema)
+
+
+def trimmed(pieces: DataFrame, window: int, anchor: int) -> DataFrame:
+    """(fp, words, first, hi): the different texts that are left of the pieces of each anchor without windows that only one piece has.
+
+    A window reaches so many words to the left of its anchor and the others to the right; a piece that
+    has it shares both with another. ``first`` is the first place (doc_id, row, start) and ``hi`` the greatest doc_id.
+    """
+    around = window - anchor
+    place = "fp bigint, doc_id bigint, row bigint, start int, n int, words binary, at int, beside binary"
+
+    def outwards(words: list[bytes]) -> bytes:
+        return b"".join(w + b" " for w in words)
+
+    def to_right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = beside(batch, anchor)
+            right = [outwards(x.as_py().split(b" ")[k + anchor :]) for k, x in zip(at, batch.column("words"), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int32()), pa.array(right, pa.binary())], names=[*batch.schema.names, "at", "beside"])
+
+    def to_left(piece: dict, reach: int) -> dict | None:
+        if around - reach > piece["at"]:
+            return None
+        return {**piece, "beside": outwards(piece["words"].split(b" ")[: piece["at"]][::-1]), "right": reach}
+
+    def part(piece: dict, reach: int) -> dict | None:
+        low, high = max(0, piece["at"] - reach), min(piece["n"] - 1, piece["at"] - around + piece["right"])
+        if low > high:
+            return None
+        return {**piece, "start": piece["start"] + low, "words": b" ".join(piece["words"].split(b" ")[low : high + window])}
+
+    sides = in_batches(pieces.select("fp", "doc_id", "row", "start", "n", "words"), to_right, place)
+    sides = most_shared(sides, around, to_left, place + ", right int")
+    left = most_shared(sides, around, part, "fp bigint, doc_id bigint, row bigint, start int, words binary")
+    return left.groupBy("fp", "words").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.max("doc_id").alias("hi"))
+
+
+def locate(pieces: DataFrame, window: int, anchor: int, hot: int, shard: int) -> DataFrame:
     """Spans of the pieces that recur in a smaller document, from the piece's place ``at``; pieces are read repeatedly."""
     count = pieces.count()
     if not count:
@@ -124,18 +207,20 @@ def locate(pieces: DataFrame, window: int, hot: int, shard: int) -> DataFrame:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, data, offsets in slices(batch.column(2)):
+            for first, last, data, offsets in slices(batch.column(1)):
                 words, rows = word_hashes(data, offsets)
-                n = batch.column(1).to_numpy()[first:last].astype(np.int64)
-                begin = np.repeat(rows[:-1], n) + np.concatenate([np.arange(c) for c in n])
+                n = np.diff(rows) - window + 1
+                own, step = np.repeat(np.arange(first, last), n), np.concatenate([np.arange(c) for c in n])
+                begin = np.repeat(rows[:-1], n) + step
                 h = mix(ranges(prefix(words), begin, begin + window)).view(np.int64)
-                own = np.repeat(np.arange(first, last), n)
-                columns = [batch.column(0).take(pa.array(own)), pa.array(h), batch.column(3).take(pa.array(own)), batch.column(4).take(pa.array(own)), pa.array((np.repeat(batch.column(5).to_numpy()[first:last], n) + begin - np.repeat(rows[:-1], n)).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["fp", "h", "doc_id", "row", "start"])
+                fp, doc, row, hi = (batch.column(c).take(pa.array(own)) for c in (0, 2, 3, 5))
+                start = (batch.column(4).to_numpy()[own] + step).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([fp, pa.array(h), doc, row, pa.array(start), hi], names=["fp", "h", "doc_id", "row", "start", "hi"])
 
     # hot anchors: which windows recur is counted over all tasks; the first of each becomes a pattern
-    found = in_batches(common.select("fp", "n", "words", "doc_id", "row", "start"), hashed, "fp bigint, h bigint, doc_id bigint, row bigint, start int")
-    recurring = found.groupBy("fp", "h").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.max("doc_id").alias("hi"))
+    texts = trimmed(common, window, anchor).select("fp", "words", "first.*", "hi")
+    found = in_batches(texts, hashed, "fp bigint, h bigint, doc_id bigint, row bigint, start int, hi bigint")
+    recurring = found.groupBy("fp", "h").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.max("hi").alias("hi"))
     recurring = recurring.where("first.doc_id < hi").select("fp", F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), F.col("first.start").alias("at"))
     source = common.select("fp", "doc_id", "row", "start", "n", "words", "kinds")
     patterns = recurring.join(source, ["fp", "doc_id", "row"]).where("at >= start and at < start + n")
@@ -230,7 +315,7 @@ def removed_spans(documents: DataFrame, *, window: int = WINDOW, anchor: int = A
 
     more = written(more_places(again, distinct, kinds), "more-places")
     pieces = written(cut(documents, wanted, take), "pieces")
-    hits = written(locate(pieces, window, hot, shard), "hits")
+    hits = written(locate(pieces, window, anchor, hot, shard), "hits")
     span = lambda row, at: ["doc_id", F.col(row).alias("row"), *[(F.col(at) + F.col(c)).alias(c) for c in ("start", "stop")]]
     repeats = hits.join(more, ["fp", "row", "at"]).select(*span("own", "to"))
     return whole.unionByName(hits.select(*span("row", "at"))).unionByName(repeats)

@@ -77,6 +77,25 @@ def test_passages_of_smaller_documents_go(documents, rows, hot, shard, crowd, he
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in found) == sorted(expected)
 
 
+def test_windows_that_one_piece_has_are_not_counted(spark, monkeypatch):
+    rng, counted, plain = random.Random(9), [], op02_substring.in_batches
+
+    def counting(df, run, schema):
+        out = plain(df, run, schema)
+        if isinstance(schema, str) and schema.startswith("fp bigint, h bigint"):
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(op02_substring, "in_batches", counting)
+    passage = words(rng, 60)
+    own = lambda i, j: " ".join(f"{k}of{i}" for k in range(j, j + 45))
+    rows = [(i, f"{own(i, 0)} {passage} {own(i, 45)}") for i in range(400)]
+    found = op02_substring.dedup(spark.createDataFrame(rows, "doc_id long, text string"), hot=5, shard=50).collect()
+    assert sorted((r.doc_id, r.kept) for r in found) == [(i, text if not i else " ".join(text.replace(passage, "").split())) for i, text in rows]
+    # 11 windows recur; pieces at the edges of at most 8 partitions may keep their 41
+    assert 11 <= sum(counted) <= 11 + 2 * 2 * 8 * 41
+
+
 @pytest.mark.parametrize("hot,shard,crowd", [(256, 2000, 1000), (2, 5, 1)])
 def test_passages_go_from_every_place_of_a_document(spark, hot, shard, crowd, monkeypatch):
     monkeypatch.setattr(recurrence, "CROWD", crowd)
