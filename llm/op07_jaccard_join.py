@@ -51,8 +51,6 @@ BLOCK = 420
 OPEN_BLOCK = 640
 SHARD = 400
 FEW = 1_000_000
-SAMPLE = 20_000
-SHARE = 1 / 8
 COMMON = 24
 COMMON_MOST = 1_000_000
 LAST = np.uint64(1 << 62)
@@ -84,24 +82,19 @@ def sketch_size(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def common_shingles(documents: DataFrame, k: int) -> np.ndarray:
-    """Shingles that about ``COMMON`` documents or more have, ``COMMON_MOST`` at most, sorted.
+    """Shingles that ``COMMON`` documents or more have, counted in all of them, sorted; of over ``COMMON_MOST`` those that most have.
 
-    They are counted in a share of the documents, and only in the part of the order that sketches
-    come from unless most of a text is common.
+    They are looked for in the part of the order that sketches come from unless most of a text is common.
     """
-    n = documents.count()
-    share = max(SHARE, min(1.0, SAMPLE / max(1, n)))
-    part = documents.where(F.pmod(F.xxhash64("row", F.lit(7)), F.lit(1 << 30)) < int((1 << 30) * share)).select("text")
     top = np.uint64((1 << 62) // 3)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in slices(batch.column(0)):
-                g, _ = shingles(data, offsets, k, np.empty(0, dtype=np.uint64))
-                found, times = np.unique(g[g < top], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], names=["g", "times"])
+            parts = [g[g < top] for _, _, data, offsets in slices(batch.column(0)) for g, _ in [shingles(data, offsets, k, np.empty(0, dtype=np.uint64))]]
+            found, times = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times.astype(np.int32))], names=["g", "times"])
 
-    counts = in_batches(part, run, "g bigint, times bigint").groupBy("g").agg(F.sum("times").alias("times")).where(F.col("times") >= max(2, round(COMMON * share)))
+    counts = in_batches(documents.select("text"), run, "g bigint, times int").groupBy("g").agg(F.sum("times").alias("times")).where(F.col("times") >= COMMON)
     found = counts.orderBy(F.desc("times"), "g").limit(COMMON_MOST).select("g").toPandas().g.to_numpy(dtype=np.int64)
     return np.sort(found.view(np.uint64))
 

@@ -185,3 +185,14 @@ def test_links_do_not_depend_on_which_shingles_are_common(spark, rows, monkeypat
     every = np.unique(np.concatenate([op07_jaccard_join.shingles(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]), 4, np.empty(0, np.uint64))[0] for _, t in rows]))
     monkeypatch.setattr(op07_jaccard_join, "common_shingles", lambda *_: {"none": every[:0], "all": every, "half": every[::2]}[flags])
     assert joined() == expected
+
+
+def test_common_shingles_are_counted_in_all_documents(spark):
+    n = 60_000
+    # shingle j is a document of its own: 23, 24 or 25 times, far apart, among texts that come once
+    kinds = [(j, 23 + j % 3) for j in range(90)]
+    text = {i * 2400 + j: f"many have {j} words" for j, times in kinds for i in range(times)}
+    documents = spark.createDataFrame([(i, text.get(i, f"once {i} is enough")) for i in range(n)], "row long, text string")
+    hashed = lambda t: op07_jaccard_join.shingles(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), 4, np.empty(0, np.uint64))[0][0]
+    expected = sorted(int(h) for j, times in kinds if times >= 24 and (h := hashed(f"many have {j} words")) < (1 << 62) // 3)
+    assert len(expected) > 5 and op07_jaccard_join.common_shingles(documents, 4).tolist() == expected
