@@ -9,8 +9,8 @@ tell nothing; here every pivot comes with documents that may be near it.
 2. Regions: in a fixed order of all shingles, two linked sets share one of their first
    n - ceil(t n) + 1 shingles (their sketches), and their sizes lie in one band or in neighbouring
    ones. For each such shingle and band, the class of least hash is the pivot for all that have
-   it: a linked pair lies in a common pivot's region. Common shingles, counted in
-   a share of the documents, come last in the order; which ones are found affects speed only.
+   it: a linked pair lies in a common pivot's region. Common shingles, all of which are
+   counted in all documents, come last in the order; this affects speed only.
 3. A sketch holds all of a set's shingles up to its last one, so two sketches give a lower bound
    of the distance. Documents that may be near their pivot join it; the others are compared with all
    of their region, boundary documents being replicated to each block of a large region. Clusters
@@ -32,7 +32,8 @@ empty table has no rows; columns named like the outputs are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -51,13 +52,14 @@ BLOCK = 420
 OPEN_BLOCK = 640
 SHARD = 400
 FEW = 1_000_000
+PARTS = 3
 COMMON = 24
 COMMON_MOST = 1_000_000
 LAST = np.uint64(1 << 62)
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, k: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct shingles of each row in the fixed order, offsets by row)."""
+def shingles(data: np.ndarray, offsets: np.ndarray, k: int, common: np.ndarray, part: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct shingles of each row in the fixed order, offsets by row); of one of ``PARTS`` equal ranges of hashes, if ``part`` is given."""
     words, rows = word_hashes(LOWER[data], offsets)
     n = np.diff(rows)
     sums = prefix(words)
@@ -67,6 +69,9 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int, common: np.ndarray)
     g = np.concatenate([windows(sums, k)[full], ranges(sums, rows[short], rows[short + 1])])
     own = np.concatenate([at[full], short])
     g = mix(g) >> np.uint64(2)
+    if part is not None:
+        inside = (g >= np.uint64((1 << 62) * part // PARTS)) & (g < np.uint64((1 << 62) * (part + 1) // PARTS))
+        g, own = g[inside], own[inside]
     if len(common):
         i = np.minimum(np.searchsorted(common, g), len(common) - 1)
         g = g | np.where(common[i] == g, LAST, np.uint64(0))
@@ -81,36 +86,69 @@ def sketch_size(n: np.ndarray, percent: int) -> np.ndarray:
     return np.where(n > 0, n - -(-n * percent // 100) + 1, 0)
 
 
-def common_shingles(documents: DataFrame, k: int) -> np.ndarray:
-    """Shingles that ``COMMON`` documents or more have, counted in all of them, sorted; of over ``COMMON_MOST`` those that most have.
+def shingles_of(documents: DataFrame, k: int, part: int) -> DataFrame:
+    """(row, g): the shingles of every document in one part of the hashes."""
 
-    They are looked for in the part of the order that sketches come from unless most of a text is common.
-    """
-    top = np.uint64((1 << 62) // 3)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(0).to_numpy()
+            for first, last, data, offsets in slices(batch.column(1)):
+                g, at = shingles(data, offsets, k, np.empty(0, dtype=np.uint64), part)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rows[first:last], np.diff(at))), pa.array(g.view(np.int64))], names=["row", "g"])
+
+    return in_batches(documents.select("row", "text"), run, "row bigint, g bigint")
+
+
+def common_of(documents: DataFrame, k: int, part: int) -> DataFrame:
+    """(g): the shingles in one part of the hashes that ``COMMON`` documents or more have, counted in all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [g[g < top] for _, _, data, offsets in slices(batch.column(0)) for g, _ in [shingles(data, offsets, k, np.empty(0, dtype=np.uint64))]]
+            parts = [shingles(data, offsets, k, np.empty(0, dtype=np.uint64), part)[0] for _, _, data, offsets in slices(batch.column(0))]
             found, times = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times.astype(np.int32))], names=["g", "times"])
 
-    counts = in_batches(documents.select("text"), run, "g bigint, times int").groupBy("g").agg(F.sum("times").alias("times")).where(F.col("times") >= COMMON)
-    found = counts.orderBy(F.desc("times"), "g").limit(COMMON_MOST).select("g").toPandas().g.to_numpy(dtype=np.int64)
-    return np.sort(found.view(np.uint64))
+    counts = in_batches(documents.select("text"), run, "g bigint, times int").groupBy("g").agg(F.sum("times").alias("times"))
+    return counts.where(F.col("times") >= COMMON).select("g")
+
+
+def common_shingles(documents: DataFrame, k: int, parts: Sequence[int] = (0,)) -> np.ndarray | list[DataFrame]:
+    """All shingles of the given parts that ``COMMON`` documents or more have, sorted; over ``COMMON_MOST``, a table for each part.
+
+    Parts are counted one after the other, so that the shuffle of only one is on disk at a time.
+    """
+    found = [written(common_of(documents, k, part), "common") for part in parts]
+    if sum(f.count() for f in found) > COMMON_MOST:
+        return found
+    common = np.sort(np.concatenate([f.toPandas().g.to_numpy(dtype=np.int64) for f in found]).view(np.uint64))
+    for f in found:
+        drop(f)
+    return common
+
+
+def with_common(documents: DataFrame, k: int, common: list[DataFrame]) -> DataFrame:
+    """``documents`` with ``common``, the list of the common shingles that each has, by a join for each part."""
+    held = [written(shingles_of(documents, k, part).join(c, "g"), "held") for part, c in enumerate(common)]
+    lists = reduce(DataFrame.unionByName, held).groupBy("row").agg(F.collect_set("g").alias("common"))
+    return documents.join(lists, "row", "left").select(*documents.columns, "common")
 
 
-def sketches(documents: DataFrame, k: int, percent: int, common: np.ndarray) -> DataFrame:
+def sketches(documents: DataFrame, k: int, percent: int, common: np.ndarray | list[DataFrame]) -> DataFrame:
     """(doc_id, row, n, node, sketch, short): node is a hash of the whole set, null if it is empty.
 
     ``short`` holds the sketch's distinct upper halves, in order. Two sets differ in at least as many
     shingles as upper halves, so bounds from these hold for the sets.
     """
     schema = "doc_id bigint, row bigint, n bigint, node bigint, sketch array<bigint>, short array<int>"
+    joined = isinstance(common, list)
+    flags = None if joined else common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, offsets in slices(batch.column(2)):
-                g, at = shingles(data, offsets, k, common)
+                # what is common for one document is so for all: the lists of these rows hold all that they need
+                known = np.unique(batch.column(3).slice(first, last - first).flatten().to_numpy()).view(np.uint64) if joined else flags
+                g, at = shingles(data, offsets, k, known)
                 n = np.diff(at)
                 node = mix(ranges(prefix(g), at[:-1], at[1:]) + n.astype(np.uint64)).view(np.int64)
                 size = sketch_size(n, percent)
@@ -127,7 +165,7 @@ def sketches(documents: DataFrame, k: int, percent: int, common: np.ndarray) ->
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n), pa.array(node, mask=n == 0), lists, short], names=["doc_id", "row", "n", "node", "sketch", "short"])
 
-    return in_batches(documents, run, schema)
+    return in_batches(with_common(documents, k, common) if joined else documents, run, schema)
 
 
 class Groups:
@@ -374,7 +412,7 @@ def join(documents: DataFrame, *, k: int = K, percent: int = PERCENT, block: int
     body = F.coalesce(F.col("text"), F.lit(""))
     row = F.xxhash64(F.col("doc_id").cast("bigint"), body)
     keyed = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), row.alias("row"), body.alias("text"))
-    found = written(sketches(keyed, k, percent, common_shingles(keyed, k)), "sketches")
+    found = written(sketches(keyed, k, percent, common_shingles(keyed, k, range(PARTS))), "sketches")
     sets = written(found.select("doc_id", "row", "n", "node"), "sets")
     classes = found.where("node is not null").groupBy("node").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("short").alias("short")

@@ -196,3 +196,33 @@ def test_common_shingles_are_counted_in_all_documents(spark):
     hashed = lambda t: op07_jaccard_join.shingles(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), 4, np.empty(0, np.uint64))[0][0]
     expected = sorted(int(h) for j, times in kinds if times >= 24 and (h := hashed(f"many have {j} words")) < (1 << 62) // 3)
     assert len(expected) > 5 and op07_jaccard_join.common_shingles(documents, 4).tolist() == expected
+
+
+@pytest.mark.parametrize("most", [1_000_000, 3])
+def test_every_common_shingle_comes_last_in_the_order(spark, monkeypatch, most):
+    rng = random.Random(5)
+    lines = [words(rng, 8) for _ in range(6)]
+    # lines come 23 to 28 times, those of 24 and more are common; texts of one line alone, and repeated rows, too
+    rows = [(100 * j + i, f"{words(rng, 9)} {line} {words(rng, 9)}" if i else line) for j, line in enumerate(lines) for i in range(23 + j)]
+    rows += [rows[0], (9000, None), (9001, "")]
+    seen, sketches = [], op07_jaccard_join.sketches
+
+    def spied(documents, k, percent, common):
+        out = sketches(documents, k, percent, common)
+        seen.append({r.row: (r.sketch, r.n) for r in out.collect()})
+        texts.update({r.row: r.text for r in documents.collect()})
+        return out
+
+    texts = {}
+    monkeypatch.setattr(op07_jaccard_join, "sketches", spied)
+    monkeypatch.setattr(op07_jaccard_join, "COMMON_MOST", most)
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    joined = sorted((str(r.doc_id), r.component_id) for r in op07_jaccard_join.join(documents, k=5, percent=80).collect())
+    plain = lambda t: set(op07_jaccard_join.shingles(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), 5, np.empty(0, np.uint64))[0].tolist())
+    times = Counter(g for _, t in rows for g in plain(t or ""))
+    common = {g for g, n in times.items() if n >= 24}
+    assert len(common) > 20 and max(common) > (1 << 62) * 2 // 3
+    for row, (sketch, n) in seen[0].items():
+        order = sorted(plain(texts[row]), key=lambda g: (g in common, g))
+        assert n == len(order) and sketch == [g | (1 << 62) * (g in common) for g in order[: n - -(-n * 80 // 100) + 1 if n else 0]]
+    assert joined == sorted((str(doc_id), doc_id) for doc_id, _ in rows)
