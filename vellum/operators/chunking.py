@@ -2,26 +2,61 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vellum.operators.grouped import in_tables
+from vellum.operators.serialize import markdown_part, markdown_parts, marked, together
+
+
+class InForce:
+    """The headings in force at a place of a document that is read in order: of those before, the last of each level that no shallower one has ended."""
+
+    def __init__(self) -> None:
+        self.levels: list[int] = []
+        self.texts: tuple[str | None, ...] = ()
+
+    def add(self, level: int | None, text: str | None) -> None:
+        if level is None:
+            return
+        keep = bisect_left(self.levels, level)
+        self.levels = [*self.levels[:keep], level]
+        self.texts = (*self.texts[:keep], text)
+
+
+def with_headings(rows: DataFrame, order: str, heading: Column, level: Column, text: Column) -> DataFrame:
+    """``rows`` with ``headings``: those in force before each row, in the order of a column within its document."""
+    given = rows.withColumns({"head_level_": F.when(heading, level).cast("bigint"), "head_text_": F.when(heading, text)})
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in rows.schema.fields], T.StructField("headings", T.ArrayType(T.StringType()))])
+
+    def document(table: pa.Table, edges: np.ndarray) -> pa.Table:
+        levels, texts = table.column("head_level_").to_pylist(), table.column("head_text_").to_pylist()
+        known = table.column("doc_id").is_valid().to_pylist()
+        found: list[tuple] = []
+        for a, b in pairwise(edges.tolist()):
+            now = InForce()
+            for i in range(a, b):
+                found.append(now.texts)
+                if levels[i] is not None and known[i]:
+                    now.add(levels[i], texts[i])
+        return table.append_column("headings", pa.array(found, pa.list_(pa.string())))
 
-from vellum.operators.serialize import markdown_parts, together
+    return in_tables(given, "doc_id", [order], document, schema)
 
 
 def heading_context(nodes: DataFrame) -> DataFrame:
     """(doc_id, node_id, headings): of the headings before a node, the last of each level that no shallower one has ended.
 
-    nodes (doc_id, node_id, label, level, text) are in the order of node_id. For every level that a document
-    has, the last heading of that level or a shallower one is in force if it is of that level itself.
+    nodes (doc_id, node_id, label, level, text) are in the order of node_id.
     """
-    head = F.col("label") == "section_header"
-    levels = nodes.where(head).select("doc_id", F.col("level").alias("at")).distinct()
-    spread = nodes.select("doc_id", "node_id", "label", "level", "text").join(levels, "doc_id")
-    w = Window.partitionBy("doc_id", "at").orderBy("node_id").rowsBetween(Window.unboundedPreceding, -1)
-    last = F.last(F.when(head & (F.col("level") <= F.col("at")), F.struct("level", "text")), ignorenulls=True).over(w)
-    found = spread.withColumn("last", last).where(F.col("last.level") == F.col("at"))
-    found = found.groupBy("doc_id", "node_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", F.col("last.text").alias("text")))), lambda h: h.text).alias("headings"))
-    return nodes.select("doc_id", "node_id").join(found, ["doc_id", "node_id"], "left").select("doc_id", "node_id", F.coalesce("headings", F.array().cast("array<string>")).alias("headings"))
+    found = with_headings(nodes.select("doc_id", "node_id", "label", "level", "text"), "node_id", F.col("label") == "section_header", F.col("level"), F.col("text"))
+    return found.select("doc_id", "node_id", "headings")
 
 
 def contextualized(headings: Column, text: Column) -> Column:
@@ -80,16 +115,15 @@ def hierarchical(walk: DataFrame) -> DataFrame:
     walk is of ``tree.walked``; a title is a heading over all levels.
     """
     heading = F.col("label").isin("title", "section_header")
-    numbered = walk.select("doc_id", F.col("pos").alias("node_id"), F.when(heading, "section_header").otherwise("text").alias("label"), F.when(F.col("label") == "title", 0).otherwise(F.col("level")).alias("level"), "text")
-    context = heading_context(numbered).withColumnRenamed("node_id", "pos")
-    ids = walk.select("doc_id", "pos", "node_id", "label")
-    flow = markdown_parts(walk, escape=False).join(ids, ["doc_id", "pos"]).where(~heading)
+    level = F.when(F.col("label") == "title", 0).otherwise(F.col("level"))
+    parts = marked(walk).select("doc_id", "pos", "node_id", heading.alias("heading"), level.alias("level"), F.when(heading, F.col("text")).alias("text"), F.get("lists", 0).alias("list_id"), F.when(heading, "").otherwise(markdown_part(escape=False)).alias("part"))
+    found = with_headings(parts.where("heading or part <> ''"), "pos", F.col("heading"), F.col("level"), F.col("text"))
+    flow = found.where("part <> ''").select("doc_id", "pos", "node_id", "list_id", "part", "headings").repartition("doc_id")
     first = F.coalesce("list_id", -1 - F.col("pos"))  # nodes outside of lists stand alone
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "part"))), lambda p: p.part), "\n")
-    nodes = F.transform(F.array_sort(F.collect_list(F.struct("pos", "node_id"))), lambda p: p.node_id)
-    chunks = flow.groupBy("doc_id", first.alias("of")).agg(F.min("pos").alias("pos"), text.alias("text"), nodes.alias("nodes"))
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "part", "node_id")))
+    chunks = flow.groupBy("doc_id", first.alias("of")).agg(F.min("pos").alias("pos"), F.min_by("headings", "pos").alias("headings"), in_order.alias("items"))
     number = F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")) - 1
-    return chunks.join(context, ["doc_id", "pos"]).select("doc_id", number.cast("bigint").alias("chunk_id"), "headings", "text", "nodes")
+    return chunks.select("doc_id", number.cast("bigint").alias("chunk_id"), "headings", F.array_join("items.part", "\n").alias("text"), F.col("items.node_id").alias("nodes"))
 
 
 def by_page(walk: DataFrame) -> DataFrame:
