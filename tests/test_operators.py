@@ -1,5 +1,6 @@
 """Small cases for what SQL does not cover."""
 
+import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +137,31 @@ def test_greedy_matching_uses_each_box_once(spark):
     assert {r.page_id: r.mean_iou for r in evaluation.greedy_iou(one, two).collect()} == {1: 0.5, 2: 0.0}
 
 
+def test_greedy_matching_is_the_plain_loop_and_takes_boxes_without_area(spark):
+    rng = random.Random(11)
+    rows = [(side, page, i, *(v := [float(rng.randrange(6)) for _ in range(2)]), v[0] + rng.randrange(4), v[1] + rng.randrange(4)) for page in range(60) for side in (0, 1) for i in range(rng.randrange(9))]
+
+    def score(have, boxes):
+        total, have = 0.0, list(have)
+        for x in boxes:
+            best, at = 0.0, None
+            for k, y in enumerate(have):
+                w, h = min(x[2], y[2]) - max(x[0], y[0]), min(x[3], y[3]) - max(x[1], y[1])
+                i = w * h if w > 0 and h > 0 else 0.0
+                union = (x[2] - x[0]) * (x[3] - x[1]) + (y[2] - y[0]) * (y[3] - y[1]) - i
+                if i and i / union > best:
+                    best, at = i / union, k
+            if best > 0.1:
+                total += best
+                have.pop(at)
+        return total / len(boxes) if boxes else 1.0
+
+    of = lambda page, side: [r[3:] for r in rows if r[:2] == (side, page)]
+    expected = {page: score(of(page, 0), of(page, 1)) for page in {r[1] for r in rows}}
+    sides = [spark.createDataFrame([r[1:] for r in rows if r[0] == side], "page_id long, cluster_id long, l double, t double, r double, b double") for side in (0, 1)]
+    assert {r.page_id: r.mean_iou for r in evaluation.greedy_iou(*sides).collect()} == pytest.approx(expected)
+
+
 def test_markdown_table_aligns_numbers(spark):
     cells = [(1, i, i // 2, 1, i % 2, 1) for i in range(4)]
     slots = tables.grid(spark.createDataFrame(cells, "table_id long, cell_id long, start_row long, row_span long, start_col long, col_span long"))

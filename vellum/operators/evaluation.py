@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellum.operators.grouped import in_groups
+
+#: Pairs of boxes of a page that are compared at once.
+PAIRS = 1_000_000
+
 
 def label_f1(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, f1): agreement of the label multisets; two empty ones agree."""
@@ -30,36 +36,34 @@ def greedy_iou(expected: DataFrame, actual: DataFrame, least: float = 0.1) -> Da
     """(page_id, mean_iou): each actual box in order takes the best expected one left, if over ``least``."""
     box = ["l", "t", "r", "b"]
     both = expected.select("page_id", F.lit(0).alias("side"), "cluster_id", *box).unionByName(actual.select("page_id", F.lit(1).alias("side"), "cluster_id", *box))
-    rows = both.repartition("page_id").sortWithinPartitions("page_id", "side", "cluster_id")
-
-    def score(page: pd.DataFrame) -> float:
-        have = page[page.side == 0][box].to_numpy().tolist()
-        total, n = 0.0, 0
-        for x in page[page.side == 1][box].to_numpy().tolist():
-            ious = []
-            for y in have:
-                w, h = min(x[2], y[2]) - max(x[0], y[0]), min(x[3], y[3]) - max(x[1], y[1])
-                i = w * h if w > 0 and h > 0 else 0.0
-                ious.append(i / ((x[2] - x[0]) * (x[3] - x[1]) + (y[2] - y[0]) * (y[3] - y[1]) - i))
-            k = max(range(len(ious)), key=ious.__getitem__, default=None)
-            n += 1
-            if k is not None and ious[k] > least:
-                total += ious[k]
-                have.pop(k)
-        return total / n if n else 1.0
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for batch in batches:
-            batch = batch if rest is None else pd.concat([rest, batch])
-            last = batch.page_id == batch.page_id.iloc[-1]
-            rest, done = batch[last], batch[~last]
-            if len(done):
-                yield pd.DataFrame([(k, score(p)) for k, p in done.groupby("page_id", sort=False)], columns=["page_id", "mean_iou"])
-        if rest is not None and len(rest):
-            yield pd.DataFrame([(rest.page_id.iloc[0], score(rest))], columns=["page_id", "mean_iou"])
-
-    return rows.mapInPandas(run, "page_id bigint, mean_iou double")
+
+    def score(have: np.ndarray, boxes: np.ndarray) -> float:
+        if not len(boxes):
+            return 1.0
+        total, free = 0.0, np.ones(len(have), dtype=bool)
+        block = max(1, PAIRS // max(1, len(have)))
+        for start in range(0, len(boxes) if len(have) else 0, block):
+            x, y = boxes[start : start + block, None], have[None]
+            w, h = np.minimum(x[..., 2], y[..., 2]) - np.maximum(x[..., 0], y[..., 0]), np.minimum(x[..., 3], y[..., 3]) - np.maximum(x[..., 1], y[..., 1])
+            i = np.where((w > 0) & (h > 0), w * h, 0.0)
+            union = (x[..., 2] - x[..., 0]) * (x[..., 3] - x[..., 1]) + (y[..., 2] - y[..., 0]) * (y[..., 3] - y[..., 1]) - i
+            for row in np.divide(i, union, out=np.zeros_like(i), where=union != 0):
+                k = int(np.where(free, row, -1.0).argmax())
+                if free[k] and row[k] > least:
+                    total += float(row[k])
+                    free[k] = False
+        return total / len(boxes)
+
+    def pages(frame: pd.DataFrame, edges: list[int]) -> pd.DataFrame:
+        boxes, second = frame[box].to_numpy(dtype=float), np.concatenate([[0], np.cumsum(frame.side.to_numpy())])
+        at = frame.page_id.to_numpy()
+        found = []
+        for a, b in pairwise(edges):
+            cut = b - int(second[b] - second[a])
+            found.append((at[a], score(boxes[a:cut], boxes[cut:b])))
+        return pd.DataFrame(found, columns=["page_id", "mean_iou"])
+
+    return in_groups(both, ["page_id"], ["side", "cluster_id"], pages, "page_id bigint, mean_iou double")
 
 
 def grade(score: Column) -> Column:
