@@ -1,6 +1,7 @@
 """Small cases for what SQL does not cover."""
 
 import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F

@@ -28,21 +28,26 @@ class Barrier(StatefulProcessor):
         self.total = handle.getValueState("total", StructType([StructField("total", LongType()), StructField("done", IntegerType())]))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        total, done = self.total.get() if self.total.exists() else (0, 0)
+        fresh = not self.total.exists()
+        total, done = (0, 0) if fresh else self.total.get()
+        new = {}
         for batch in rows:
             for page_no, of, payload in zip(batch.page_no, batch.total, batch.payload, strict=True):
                 total = max(total, int(of))
-                if not done:
-                    self.pages.updateValue((int(page_no),), (payload,))
-        fresh = not self.total.exists()
+                new[int(page_no)] = payload
         if not done:
-            have = sorted((k[0], v[0]) for k, v in self.pages.iterator())
+            # pages that come all at once never go to the state
+            have = new if fresh else {k[0]: v[0] for k, v in self.pages.iterator()} | new
             if len(have) >= total:
                 done = 1
-                self.pages.clear()
-                yield self.row(key, have, "complete")
-            elif self.ttl_ms and fresh:
-                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
+                if not fresh:
+                    self.pages.clear()
+                yield self.row(key, sorted(have.items()), "complete")
+            else:
+                for page_no, payload in new.items():
+                    self.pages.updateValue((page_no,), (payload,))
+                if self.ttl_ms and fresh:
+                    self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms)
         self.total.update((total, done))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
