@@ -2,7 +2,7 @@
 
 import random
 
-from vellum.operators import token_chunks, tree
+from vellum.operators import cells, token_chunks, tree
 from vellum.plans import chunk_queries
 
 
@@ -49,3 +49,15 @@ def test_few_characters_are_encoded_at_a_time():
     parts = list(token_chunks.slices(sizes))
     assert [i for a, b in parts for i in range(a, b)] == list(range(len(sizes))) and list(token_chunks.slices([])) == []
     assert all(b - a == 1 or sum(sizes[a:b]) <= token_chunks.SLICE for a, b in parts)
+
+
+def test_doubles_are_found_within_pages_without_joins(spark):
+    rng = random.Random(9)
+    rows = [(page, i, *(rng.choice([0.0, 0.05, 0.09, 0.1, 0.19, 0.21, 5.0, None]) for _ in range(4)), rng.choice(["a", "b", None])) for page in (1, 2, 3, None) for i in range(80)]
+    frame = spark.createDataFrame(rows, "page_id long, cell_ix long, l double, t double, r double, b double, text string")
+    near = lambda x, y: None not in (*x[2:], *y[2:], x[0]) and x[0] == y[0] and x[6] == y[6] and y[1] < x[1] and all(abs(p - q) < 0.1 for p, q in zip(x[2:6], y[2:6], strict=True))
+    expected = {r[:2] for r in rows if not any(near(r, y) for y in rows)}
+    found = cells.without_doubles(frame)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.page_id, r.cell_ix) for r in found.collect()} == expected and len(expected) < len(rows)
+    assert "Join" not in plan and plan.count("Exchange") == 1

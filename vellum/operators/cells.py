@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.geometry import hull
+from vellum.operators.grouped import in_tables
 
 CORNERS = ["l", "t", "r", "b"]
 
@@ -13,17 +17,31 @@ CORNERS = ["l", "t", "r", "b"]
 def without_doubles(cells: DataFrame, eps: float = 0.1) -> DataFrame:
     """Cells of which no earlier one has the same text with all corners within ``eps``.
 
-    A grid of cells of size 2 eps is joined with its neighbours, so no page is compared as a whole.
+    Cells are dealt by page once. Within a batch of whole pages those of one text are looked up in a grid of size 2 eps and its
+    neighbours, so no page is compared as a whole.
     """
     size = 2 * eps
-    own = cells.select("page_id", "text", F.col("cell_ix").alias("own"), F.floor(F.col("l") / size).alias("bx"), F.floor(F.col("t") / size).alias("by"), *[F.col(c).alias(f"o_{c}") for c in CORNERS])
-    near = lambda c: F.explode(F.sequence(F.floor(F.col(c) / size) - 1, F.floor(F.col(c) / size) + 1))
-    earlier = cells.select("page_id", "text", "cell_ix", *CORNERS).withColumn("bx", near("l")).withColumn("by", near("t"))
-    same = (F.col("cell_ix") < F.col("own"))
-    for c in CORNERS:
-        same = same & (F.abs(F.col(c) - F.col(f"o_{c}")) < eps)
-    doubles = own.join(earlier, ["page_id", "text", "bx", "by"]).where(same).select("page_id", F.col("own").alias("cell_ix")).distinct()
-    return cells.join(doubles, ["page_id", "cell_ix"], "left_anti")
+
+    def pages(table: pa.Table, edges: np.ndarray) -> pa.Table:
+        rows = pd.DataFrame({c: table.column(c).to_pandas() for c in ("text", "cell_ix", *CORNERS)})
+        rows["page"] = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+        known = rows.notna().all(axis=1) & table.column("page_id").combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+        rows = rows[known]
+        rows = rows[rows.duplicated(["page", "text"], keep=False)]
+        rows["text"] = pd.factorize(rows["text"])[0]
+        rows = rows.assign(bx=np.floor(rows["l"] / size), by=np.floor(rows["t"] / size), at=rows.index)
+        keep = np.ones(len(table), dtype=bool)
+        for dx in (-1, 0, 1) if len(rows) else ():
+            for dy in (-1, 0, 1):
+                near = rows.assign(bx=rows["bx"] + dx, by=rows["by"] + dy)
+                pairs = rows.merge(near, on=["page", "text", "bx", "by"], suffixes=("", "_e"))
+                same = pairs["cell_ix_e"] < pairs["cell_ix"]
+                for c in CORNERS:
+                    same &= (pairs[c] - pairs[f"{c}_e"]).abs() < eps
+                keep[pairs.loc[same, "at"].to_numpy()] = False
+        return table.filter(pa.array(keep))
+
+    return in_tables(cells, "page_id", [], pages, cells.schema)
 
 
 def lines(cells: DataFrame, band: float = 4.0, gap: float = 40.0) -> DataFrame:
