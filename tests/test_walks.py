@@ -61,3 +61,17 @@ def test_doubles_are_found_within_pages_without_joins(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert {(r.page_id, r.cell_ix) for r in found.collect()} == expected and len(expected) < len(rows)
     assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_tables_without_overlaps_are_left_as_they_are(spark, monkeypatch):
+    import numpy as np
+
+    from vellum.operators import overlaps
+
+    rng = random.Random(12)
+    for _ in range(300):
+        boxes = np.array([[x := rng.randrange(30), y := rng.randrange(30), x + rng.randrange(9), y + rng.randrange(9)] for _ in range(rng.randrange(1, 7))], dtype=float)
+        monkeypatch.setattr(overlaps, "FEW", 200)
+        quick = overlaps.parted(boxes)
+        monkeypatch.setattr(overlaps, "FEW", 0)
+        assert (quick == overlaps.parted(boxes)).all()
